@@ -69,13 +69,18 @@ def max_drawdown(bets: DataFrame, order: Sequence[str] = ORDER, limits: Limits |
     return fold_drawdown(chunks, [], "_chunk")
 
 
+def _rounded(c: str | Column, digits: int) -> Column:
+    """Rounded in two steps, so that noise in the last bits of a sum cannot tip a tie either way."""
+    return F.round(F.round(c, 10), digits)
+
+
 def rate_columns(stake: float) -> list[Column]:
     """Rounded summary metrics from `bets`, `mean`, `std`, `total`, `win`, `proba`, `max_drawdown` columns."""
     return [
-        F.round("win", 4).alias("win_rate"), F.round("mean", 4).alias("avg_units"),
-        F.round("total", 2).alias("total_units"), F.round(F.col("mean") / stake, 4).alias("roi_per_bet"),
-        F.round(F.when(F.col("std") > 0, F.col("mean") / F.col("std")), 4).alias("sharpe"),
-        F.round("max_drawdown", 2).alias("max_drawdown"), F.round("proba", 4).alias("avg_proba")]
+        _rounded("win", 4).alias("win_rate"), _rounded("mean", 4).alias("avg_units"),
+        _rounded("total", 2).alias("total_units"), _rounded(F.col("mean") / stake, 4).alias("roi_per_bet"),
+        _rounded(F.when(F.col("std") > 0, F.col("mean") / F.col("std")), 4).alias("sharpe"),
+        _rounded("max_drawdown", 2).alias("max_drawdown"), _rounded("proba", 4).alias("avg_proba")]
 
 
 def summarise(

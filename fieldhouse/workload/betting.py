@@ -34,6 +34,17 @@ cum AS (SELECT *, sum(units) OVER (ORDER BY gameDate, gameId ROWS UNBOUNDED PREC
 log AS (SELECT *, max(cum_units) OVER (ORDER BY gameDate, gameId ROWS UNBOUNDED PRECEDING) AS peak FROM cum)"""
 
 
+def _r(e: str, n: int) -> str:
+    return f"round(round({e}, 10), {n})"
+
+
+def _summary_sql(drawdown: str) -> str:
+    return f"""count(*) AS bets, {_r('avg(win)', 4)} AS win_rate, {_r('avg(units)', 4)} AS avg_units,
+  {_r('sum(units)', 2)} AS total_units, {_r('avg(units)', 4)} AS roi_per_bet,
+  {_r('avg(units) / stddev_samp(units)', 4)} AS sharpe, {_r(f'min({drawdown})', 2)} AS max_drawdown,
+  {_r('avg(proba)', 4)} AS avg_proba"""
+
+
 @query("valid_odds", f"WITH {_PRICED} SELECT gameId, homeMoneyline, awayMoneyline FROM priced")
 def valid_odds(spark, d):
     return priced(spark, d).select("gameId", "homeMoneyline", "awayMoneyline")
@@ -53,10 +64,7 @@ def bet_log(spark, d):
 
 
 @query("backtest_summary", f"""
-WITH {_BETS} SELECT count(*) AS bets, round(avg(win), 4) AS win_rate, round(avg(units), 4) AS avg_units,
-  round(sum(units), 2) AS total_units, round(avg(units), 4) AS roi_per_bet,
-  round(avg(units) / stddev_samp(units), 4) AS sharpe, round(min(cum_units - peak), 2) AS max_drawdown,
-  round(avg(proba), 4) AS avg_proba FROM log HAVING count(*) >= 10""")
+WITH {_BETS} SELECT {_summary_sql('cum_units - peak')} FROM log HAVING count(*) >= 10""")
 def backtest_summary(spark, d):
     return bt.backtest(priced(spark, d), LOWER, UPPER)
 
@@ -139,10 +147,7 @@ running AS (SELECT *, sum(units) OVER (PARTITION BY lo, hi ORDER BY gameDate, ga
   FROM paid),
 topped AS (SELECT *, max(cum) OVER (PARTITION BY lo, hi ORDER BY gameDate, gameId ROWS UNBOUNDED PRECEDING) AS top
   FROM running),
-sweep AS (SELECT lo AS lower_threshold, hi AS upper_threshold, count(*) AS bets, round(avg(win), 4) AS win_rate,
-  round(avg(units), 4) AS avg_units, round(sum(units), 2) AS total_units, round(avg(units), 4) AS roi_per_bet,
-  round(avg(units) / stddev_samp(units), 4) AS sharpe, round(min(cum - top), 2) AS max_drawdown,
-  round(avg(proba), 4) AS avg_proba FROM topped GROUP BY lo, hi HAVING count(*) >= 100)"""
+sweep AS (SELECT lo AS lower_threshold, hi AS upper_threshold, {_summary_sql('cum - top')} FROM topped GROUP BY lo, hi HAVING count(*) >= 100)"""
 
 
 @query("threshold_sweep", f"WITH {_SWEEP.format(step=0.01, n=45)} SELECT * FROM sweep")
@@ -157,8 +162,8 @@ def best_thresholds(spark, d):
 
 
 def _half_sql(name: str, cond: str) -> str:
-    return f"""{name} AS (SELECT count(*) AS bets, round(avg(win), 4) AS win_rate, round(avg(units), 4) AS roi_per_bet,
-  round(avg(units) / stddev_samp(units), 4) AS sharpe FROM bets WHERE {cond})"""
+    return f"""{name} AS (SELECT count(*) AS bets, {_r('avg(win)', 4)} AS win_rate, {_r('avg(units)', 4)} AS roi_per_bet,
+  {_r('avg(units) / stddev_samp(units)', 4)} AS sharpe FROM bets WHERE {cond})"""
 
 
 @query("optimised_vs_evaluated", f"""
