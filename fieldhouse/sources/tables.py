@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from fieldhouse.operators.profile import has_data, repeated_keys
 from fieldhouse.operators.shape import conform, with_missing
 from fieldhouse.operators.sizing import Limits
-from fieldhouse.operators.upsert import ACTION, merge_rows, new_rows, stamped
+from fieldhouse.operators.upsert import ACTION, action_counts, merge_rows, new_rows, stamped
 from fieldhouse.schemas import AUDIT, TableSpec
 
 
@@ -92,24 +92,25 @@ class TableStore:
             target = with_missing(target, {f.name: f.dataType.simpleString() for f in source.schema.fields})
             if spec.partition_by:
                 target = self._touched(target, source, spec, small)
-            seen = Observation()
-            merged = merge_rows(target, source, spec.keys, F.current_timestamp(), small).observe(seen, *[
-                F.coalesce(F.sum((F.col(ACTION) == a).cast("long")), F.lit(0)).alias(a)
-                for a in ("insert", "update", "same")])
+            merged = merge_rows(target, source, spec.keys, F.current_timestamp(), small)
             if dry_run:
-                merged.write.format("noop").mode("overwrite").save()
+                n = self._actions(merged)
             else:
                 rows, merged_path = self._staged(merged)
-                if not rows.where(F.col(ACTION).isin("insert", "update")).isEmpty():
+                n = self._actions(rows)
+                if n.get("insert") or n.get("update"):
                     self._write(rows.drop(ACTION), self.path(spec), spec, "overwrite")
                 if drop_stage:
                     self._drop(merged_path)
-            n = seen.get
-            return LoadResult(spec.name, n["insert"], n["update"], n["same"], dry_run)
+            return LoadResult(spec.name, n.get("insert", 0), n.get("update", 0), n.get("same", 0), dry_run)
         finally:
             if drop_stage:
                 self._drop(stage)
 
+    @staticmethod
+    def _actions(merged: DataFrame) -> dict[str, int]:
+        return {r[ACTION]: r["n"] for r in action_counts(merged).collect()}  # at most four rows
+
     def _touched(self, target: DataFrame, source: DataFrame, spec: TableSpec, small: bool) -> DataFrame:
         """Target rows of the partitions an upsert can change. The partition list is small and prunes the scan."""
         parts = list(spec.partition_by)
