@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldhouse.operators.encoding import exact_median
 from fieldhouse.operators.ordering import with_running, with_trailing
 from fieldhouse.operators.sizing import Limits, lookup
 
@@ -81,14 +82,15 @@ def classification_metrics(pairs: DataFrame) -> DataFrame:
         F.sum(recall * weight).alias("recall"), F.sum(f1 * weight).alias("f1"))
 
 
-def regression_metrics(df: DataFrame, actual: str = "actual", pred: str = "predicted") -> DataFrame:
+def regression_metrics(df: DataFrame, actual: str = "actual", pred: str = "predicted", limits: Limits | None = None) -> DataFrame:
     """R², MSE, RMSE, MAE, median absolute error, and MAPE over non-zero actuals: one row."""
     y, e = F.col(actual), F.col(actual) - F.col(pred)
     mse = F.avg(e * e)
-    return df.agg(
+    sums = df.agg(
         (1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"), mse.alias("mse"), F.sqrt(mse).alias("rmse"),
-        F.avg(F.abs(e)).alias("mae"), F.median(F.abs(e)).alias("median_ae"),
-        (F.avg(F.when(y != 0, F.abs(e / y))) * 100).alias("mape"))
+        F.avg(F.abs(e)).alias("mae"), (F.avg(F.when(y != 0, F.abs(e / y))) * 100).alias("mape"))
+    middle = exact_median(df.select(F.abs(e).alias("_ae")), "_ae", limits).withColumnRenamed("median", "median_ae")
+    return sums.crossJoin(F.broadcast(middle)).select("r2", "mse", "rmse", "mae", "median_ae", "mape")  # one row each
 
 
 def worst_predictions(df: DataFrame, k: int = 5, actual: str = "actual", pred: str = "predicted", key: str = "gameId") -> DataFrame:
@@ -160,6 +162,29 @@ def roc_on_grid(points: DataFrame, keys: Sequence[str] = (), steps: int = 100, l
         *keys, (F.col("k") / F.lit(float(last))).alias("fpr"), "tpr")
 
 
+def performance_weights(metrics: DataFrame, higher_is_better: bool = True, floor: float = 0.01) -> DataFrame:
+    """Ensemble weights that sum to the number of models, from (`model`, `value`) rows.
+
+    Scores below zero are lifted so that the worst becomes `floor`; losses count by their inverse, and a loss that
+    is not positive counts as 1.
+    """
+    facts = metrics.agg(F.min("value").alias("low"))
+    raw = metrics.crossJoin(F.broadcast(facts))  # one-row totals
+    v = F.col("value")
+    if higher_is_better:
+        raw = raw.withColumn("raw", F.when(F.col("low") < 0, v - F.col("low") + floor).otherwise(v))
+    else:
+        raw = raw.withColumn("raw", F.when(v > 0, 1.0 / v).otherwise(F.lit(1.0)))
+    total = raw.agg(F.sum("raw").alias("total"), F.count("*").alias("models"))
+    weight = F.when(F.col("total") > 0, F.col("raw") * F.col("models") / F.col("total")).otherwise(1.0)
+    return raw.crossJoin(F.broadcast(total)).select("model", "value", weight.alias("weight"))
+
+
+def position_weights(models: Sequence[str]) -> dict[str, float]:
+    """The first model weighs as many as there are models, the last one 1."""
+    return {m: float(len(models) - i) for i, m in enumerate(models)}
+
+
 def mean_roc(curves: DataFrame, run: str = "run") -> DataFrame:
     """Mean and population deviation of TPR over runs, per FPR grid value."""
     return curves.groupBy("fpr").agg(F.avg("tpr").alias("mean_tpr"), F.stddev_pop("tpr").alias("std_tpr"),

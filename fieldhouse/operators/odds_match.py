@@ -8,17 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.operators.cleaning import is_completed
+from fieldhouse.operators.sizing import lookup
+
+
+def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
+    """(`short`, `full`) pairs where the full name contains the short one.
+
+    Each distinct full name is cut into its pieces, and the pieces meet the short names on equality, so names are
+    never compared pair by pair.
+    """
+    size = F.length("full")
+    starts = F.sequence(F.lit(1), size)
+    pieces = F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col("full"), i, n))))
+    cut = full.distinct().where(size > 0).select("full", F.explode(F.array_distinct(pieces)).alias("short"))
+    return cut.join(short.distinct(), "short")
 
 
 def match_odds(games: DataFrame, odds: DataFrame) -> DataFrame:
     """Games and prices with the same start whose full names contain the short names of the odds.
 
-    The start time is the hash key; the name tests only filter rows that already share it.
+    The short home name is first resolved to the full names it may stand for; games and prices then meet on start
+    and full home name, and the away name only filters the few rows that share both.
     """
-    g, o = games.alias("g"), odds.alias("o")
+    names = _names_containing(games.select(F.col("home_name").alias("full")), odds.select(F.col("home_team").alias("short")))
+    named = odds.join(lookup(names), odds["home_team"] == names["short"]).withColumnRenamed("full", "_home")
+    g, o = games.alias("g"), named.alias("o")
     return g.join(
-        o, (F.col("g.game_datetime") == F.col("o.game_time"))
-        & F.contains("g.home_name", "o.home_team") & F.contains("g.away_name", "o.away_team")).select(
+        o, (F.col("g.game_datetime") == F.col("o.game_time")) & (F.col("g.home_name") == F.col("o._home"))
+        & F.contains("g.away_name", "o.away_team")).select(
         "g.game_id", "g.game_datetime", F.col("g.home_name").alias("full_home_name"),
         F.col("g.away_name").alias("full_away_name"), "g.home_score", "g.away_score", "o.sportsbook",
         "o.home_line", "o.away_line", "o.total", "o.over_odds", "o.under_odds", "o.home_spread",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldhouse import schemas as sc
 from fieldhouse.operators import nested as ns
 from fieldhouse.operators import odds_match as om
+from fieldhouse.operators.cleaning import clean_player_boxscores, clean_team_boxscores
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import GAMES_CTE, games, table
 
@@ -158,7 +159,6 @@ WITH {GAMES_CTE} {" UNION ALL ".join(f'''SELECT gameId::VARCHAR AS game_id, {s}T
   ({s}Runs % 9)::INTEGER AS home_runs, ({s}Runs % 5)::INTEGER AS walks, round({s}OBP, 3) AS obp, {s}Runs::INTEGER AS earned_runs,
   ({s}Runs * 3)::INTEGER AS pitches_thrown, round({s}ERA, 2) AS era FROM games''' for h, s in ((1, "home"), (0, "away")))}""")
 def baseball_team_documents(spark, d):
-    from fieldhouse.operators.cleaning import clean_team_boxscores
     flat = clean_team_boxscores(ns.baseball_team_boxscores(baseball_docs(spark, d)))
     return flat.select("game_id", "team_id", "is_home", "runs", "home_runs", "walks", "obp", "earned_runs", "pitches_thrown", "era")
 
@@ -169,7 +169,6 @@ WITH {GAMES_CTE}, both_sides AS (SELECT gameId::VARCHAR AS game_id, awayStarting
 UNION ALL SELECT gameId::VARCHAR, homeStartingPitcherId::VARCHAR, homeTeamId::VARCHAR, 1, 'P', '100', homeRuns::INTEGER, round(homeERA, 2) FROM games)
 SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY game_id, player_id ORDER BY is_home, team_id) = 1""")
 def baseball_player_documents(spark, d):
-    from fieldhouse.operators.cleaning import clean_player_boxscores
     flat = clean_player_boxscores(ns.baseball_player_boxscores(baseball_docs(spark, d)))
     return flat.select("game_id", "player_id", "team_id", "is_home", "position", "batting_order", "runs", "era")
 
@@ -301,7 +300,6 @@ WITH {GAMES_CTE} SELECT gameId::VARCHAR AS gameId, season, homeTeamId::VARCHAR A
   CASE WHEN gameId % 29 <> 0 THEN homeMoneyline END AS homeMoneyline, CASE WHEN gameId % 29 <> 0 THEN overUnder::DOUBLE END AS overUnder
 FROM games""")
 def baseball_game_view(spark, d):
-    from fieldhouse.operators.cleaning import clean_team_boxscores
     g = games(spark, d).select(
         F.col("gameId").cast("string").alias("game_id"), "season", F.col("gameDate").alias("game_datetime"), F.lit("R").alias("game_type"),
         F.col("homeTeamId").cast("string").alias("home_id"), F.lit("h").alias("home_name"), F.col("awayTeamId").cast("string").alias("away_id"),

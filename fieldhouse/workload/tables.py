@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldhouse.operators import upsert as up
 from fieldhouse.operators.profile import repeated_keys
+from fieldhouse.operators.sizing import Limits
 from fieldhouse.sources.files import pitch_scan, season_scan
 from fieldhouse.workload.registry import query
 from fieldhouse.workload.views import GAMES_CTE, games, table
@@ -51,10 +52,9 @@ def upsert_rows(spark, d):
     return _merged(spark, d, False)
 
 
-@query("upsert_rows_small_source", f"WITH {_MERGE} SELECT * FROM merged WHERE o_orderkey < 64 OR _action = 'keep' OR true")
+@query("upsert_rows_small_source", f"WITH {_MERGE} SELECT * FROM merged")
 def upsert_rows_small(spark, d):
     """The same merge with the source broadcast; the caller has checked its size."""
-    from fieldhouse.operators.sizing import Limits
     source = _source(spark, d)
     limit = Limits.of(spark).broadcast_rows
     return _merged(spark, d, source.limit(limit + 1).count() <= limit)
