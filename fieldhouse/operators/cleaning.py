@@ -121,9 +121,10 @@ def clean_pitches(df: DataFrame, arrival: Sequence[str | Column]) -> DataFrame:
     `arrival` orders deliveries of the same pitch; the last one stays, and then has to carry date, pitcher and
     batter. Rows without a game go before ids are made text, so a missing id cannot survive as a word.
     """
-    arrived = df.withColumn("_arrival", F.struct(*arrival))
+    sent = [f"_arrival{i}" for i in range(len(arrival))]
+    arrived = df.select("*", *[(F.col(a) if isinstance(a, str) else a).alias(n) for a, n in zip(arrival, sent, strict=True)])
     names = {c: PITCH_RENAMES.get(c, c) for c in PITCH_COLUMNS}
-    kept = select_renamed(arrived, names | {"_arrival": "_arrival"})
+    kept = select_renamed(arrived, names | {n: n for n in sent})
     typed = _numbers(kept, PITCH_WHOLE, PITCH_DECIMAL)
     have = set(typed.columns)
     cols = {c: to_text(F.col(c), n) for c, n in PITCH_TEXT.items() if c in have}
@@ -139,8 +140,8 @@ def clean_pitches(df: DataFrame, arrival: Sequence[str | Column]) -> DataFrame:
     if "game_pk" in have:
         out = out.dropna(subset=["game_pk"])
     if set(PITCH_KEY) <= have:
-        out = keep_first(out, PITCH_KEY, [F.col("_arrival").desc()])
-    return out.dropna(subset=[c for c in ("game_date", "pitcher", "batter") if c in have]).drop("_arrival")
+        out = keep_first(out, PITCH_KEY, [F.col(n).desc() for n in sent])
+    return out.dropna(subset=[c for c in ("game_date", "pitcher", "batter") if c in have]).drop(*sent)
 
 
 def pitch_flags(df: DataFrame) -> DataFrame:

@@ -21,13 +21,15 @@ def has_data(df: DataFrame, day: str, start: str, end: str) -> bool:
     return not df.where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))).isEmpty()
 
 
-def extract_summary(df: DataFrame, day: str, distinct: dict[str, str], listed: str | None = None) -> DataFrame:
-    """Rows, date span and distinct counts (`{output: column}`) of an extract; `listed` adds its sorted values."""
-    aggs = [F.count("*").alias("records"), F.min(day).alias("first_day"), F.max(day).alias("last_day")]
-    aggs += [F.count_distinct(c).alias(n) for n, c in distinct.items()]
-    if listed:
-        aggs.append(F.array_join(F.sort_array(F.collect_set(listed)), ",").alias(f"{listed}_list"))
-    return df.agg(*aggs)
+def extract_summary(df: DataFrame, day: str, distinct: dict[str, str]) -> DataFrame:
+    """Rows, date span and distinct counts (`{output: column}`) of an extract: one row."""
+    return df.agg(F.count("*").alias("records"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+                  *[F.count_distinct(c).alias(n) for n, c in distinct.items()])
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column, one row each, with how often they occur."""
+    return df.groupBy(column).agg(F.count("*").alias("n"))
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

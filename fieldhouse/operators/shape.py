@@ -70,6 +70,16 @@ def target_last(df: DataFrame, target: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != target], target)
 
 
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first `n` rows, in `order` when given."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
+
+
+def empty_like(df: DataFrame) -> DataFrame:
+    """No rows, same columns."""
+    return df.limit(0)
+
+
 def create_table_ddl(name: str, schema: T.StructType, keys: Sequence[str] = (), audit: bool = True) -> str:
     """`CREATE TABLE … USING parquet` for a schema; keys are kept as a table property, as Parquet has none."""
     fields = list(schema.fields)

@@ -21,13 +21,15 @@ class Limits:
     broadcast_rows: int = 500_000
     """Rows of a lookup side that may be sent to every executor."""
     probe_free_bytes: int = 64 * 1024 * 1024
-    """Inputs whose files total less than this are small whatever their keys look like, so no probe runs."""
+    """Inputs whose files total less than this hold no group too large for a task, so no probe runs."""
+    broadcast_free_bytes: int = 32 * 1024 * 1024
+    """A lookup made from files of less than this in total is broadcast without counting it."""
 
     @staticmethod
     def of(spark: SparkSession) -> "Limits":
         """Defaults, overridden by `fieldhouse.*` session settings."""
         base = Limits()
-        for name in ("group_rows", "broadcast_rows", "probe_free_bytes"):
+        for name in ("group_rows", "broadcast_rows", "probe_free_bytes", "broadcast_free_bytes"):
             value = spark.conf.get(f"fieldhouse.{name}", None)
             if value is not None:
                 base = replace(base, **{name: int(value)})
@@ -38,15 +40,14 @@ def input_bytes(df: DataFrame) -> int | None:
     """Bytes of all leaf relations under `df` as Catalyst sees them; None where the plan is not reachable."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except (AttributeError, TypeError):
         return None
 
 
-def is_small_input(df: DataFrame, limits: Limits | None = None) -> bool:
-    limits = limits or Limits.of(df.sparkSession)
+def _under(df: DataFrame, bound: int) -> bool:
     size = input_bytes(df)
-    return size is not None and size <= limits.probe_free_bytes
+    return size is not None and size <= bound
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -60,12 +61,12 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 def groups_fit(df: DataFrame, keys: Sequence[str], limits: Limits | None = None) -> bool:
     """True when every key group is small enough for one window task."""
     limits = limits or Limits.of(df.sparkSession)
-    return is_small_input(df, limits) or largest_group(df, keys) <= limits.group_rows
+    return _under(df, limits.probe_free_bytes) or largest_group(df, keys) <= limits.group_rows
 
 
 def lookup(df: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Mark a lookup side for broadcast only after its size is known; otherwise leave the join to AQE."""
     limits = limits or Limits.of(df.sparkSession)
-    if is_small_input(df, limits) or df.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows:
+    if _under(df, limits.broadcast_free_bytes) or df.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows:
         return F.broadcast(df)
     return df

@@ -23,15 +23,18 @@ def split_by_time(
     df: DataFrame, time: str, key: str, test_size: float = 0.2, limits: Limits | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The first whole number of rows up to `1 - test_size` by (time, key), and the rest."""
-    moments = with_running(df.groupBy(time).agg(F.count("*").alias("n")), [], [time], totals={"upto": F.col("n")}, limits=limits)
-    total = df.count()
-    take = int(round(total * (1.0 - test_size), 9))
-    if take <= 0 or take >= total:
-        return (df, df.limit(0)) if take > 0 else (df.limit(0), df)
+    counts = df.groupBy(time).agg(F.count("*").alias("n"))
+    moments = with_running(counts, [], [time], totals={"upto": F.col("n")}, limits=limits)
+    take = F.round(F.col("total") * F.lit(1.0 - test_size), 6).cast("long")
+    sized = moments.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).withColumn("take", take)  # one-row total
     # the moment at which the training part is full: one row
-    at = moments.where(F.col("upto") >= take).orderBy(time).select(time, (F.col("upto") - F.col("n")).alias("before")).first()
+    at = sized.where("take > 0 AND take < total AND upto >= take").orderBy(time).select(
+        time, (F.col("take") - (F.col("upto") - F.col("n"))).alias("need")).first()
+    if at is None:
+        whole = int(round(df.count() * (1.0 - test_size), 6)) > 0
+        return (df, df.limit(0)) if whole else (df.limit(0), df)
     same = with_position(df.where(F.col(time) == F.lit(at[time])).select(time, key), [], [key], "_p", limits)
-    last = same.where(F.col("_p") == take - at["before"]).first()[key]
+    last = same.where(F.col("_p") == at["need"]).first()[key]
     t, moment = F.col(time), F.lit(at[time])
     train = (t < moment) | ((t == moment) & (F.col(key) <= F.lit(last)))
     return df.where(train), df.where(~train)

@@ -300,9 +300,20 @@ def date_range_summary(spark, d):
 
 @query("extract_summary", """
 SELECT count(*) AS records, min(ts) AS first_day, max(ts) AS last_day, count(DISTINCT user_id) AS users,
-  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_type_list FROM events""")
+  count(DISTINCT event_type) AS kinds FROM events""")
 def extract_summary(spark, d):
-    return pf.extract_summary(table(spark, d, "events"), "ts", {"users": "user_id"}, "event_type")
+    return pf.extract_summary(table(spark, d, "events"), "ts", {"users": "user_id", "kinds": "event_type"})
+
+
+@query("distinct_values", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def distinct_values(spark, d):
+    return pf.distinct_values(table(spark, d, "events"), "event_type")
+
+
+@query("head_preview", "SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 5")
+def head_preview(spark, d):
+    """A preview: its limit is the feature."""
+    return sh.preview(table(spark, d, "events").select("event_id", "user_id"), 5, ["event_id"])
 
 
 # ---- duplicates and profiles -------------------------------------------------------------------------------
