@@ -7,6 +7,7 @@ import unicodedata
 
 from pyspark.sql import DataFrame
 
+# Fixed value: where one word of a name ends and the next begins.
 _WORD_BREAK = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|[^0-9A-Za-z]+")
 
 

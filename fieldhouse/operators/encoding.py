@@ -131,10 +131,12 @@ def encode_binary(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 
 
 def categories(df: DataFrame, columns: Sequence[str], most: int = 100) -> dict[str, list[str]]:
-    """Sorted values of the text columns that have at most `most` of them, in one job.
+    """Sorted values of the text columns that have at most `most` of them.
 
-    At most `most + 1` values per column leave the cluster, enough to see that a column has too many.
+    A sketch first rules out columns with far too many values, so those are never shuffled. At most `most + 1`
+    values of each remaining column leave the cluster, enough to see that there are too many.
     """
+    columns = _not_wide(df, columns, most)
     if not columns:
         return {}
     pairs = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])))
@@ -155,8 +157,18 @@ def encode_categories(df: DataFrame, columns: Sequence[str] | None = None, skip:
         F.coalesce(F.col(c) == F.lit(v), F.lit(False)).alias(f"{c}_{v}") for c in columns if c in found for v in found[c][:-1]])
 
 
+def _not_wide(df: DataFrame, columns: Sequence[str], most: int) -> list[str]:
+    """Columns that may have at most `most` values. The margin is many times the sketch's error."""
+    if not columns:
+        return []
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c] <= 2 * most + 50]
+
+
 def few_values(df: DataFrame, column: str, most: int) -> list | None:
     """Sorted distinct values, or None when there are more than `most`."""
+    if not _not_wide(df, [column], most):
+        return None
     rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
     return sorted(r[0] for r in rows) if len(rows) <= most else None
 

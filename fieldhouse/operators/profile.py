@@ -69,7 +69,7 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Count and share of each value, NULL included. The shares divide by a one-row total."""
+    """Count and share of each value, NULL included. The shares divide by a one-row total of the counts."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("_all"))
+    total = counts.agg(F.sum("n").alias("_all"))
     return counts.crossJoin(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("_all")).alias("share"))

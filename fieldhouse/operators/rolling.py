@@ -40,11 +40,15 @@ def rolling_means(
 
 
 def fatigue(
-    long: DataFrame, start: str = "startDate", order: Sequence[str] = ("gameId", "side"), limits: Limits | None = None,
+    long: DataFrame, start: str = "startDate", order: Sequence[str] = ("startDate", "gameId", "side"),
+    limits: Limits | None = None,
 ) -> DataFrame:
-    """`RestDays` since the team's previous game and `GamesPlayed` so far, by Eastern calendar day."""
+    """`RestDays` since the team's previous game and `GamesPlayed` so far, by Eastern calendar day.
+
+    The order is that of the rolling means, so both share one shuffle and one sort.
+    """
     dated = long.withColumn("gameDate", eastern_game_day(F.col(start)))
-    keys, by = ["teamId", "season"], ["gameDate", *order]
+    keys = ["teamId", "season"]
     rested = with_trailing(
-        dated, keys, by, 1, lambda w: [F.datediff("gameDate", F.lag("gameDate").over(w)).alias("RestDays")], limits)
-    return with_position(rested, keys, by, "GamesPlayed", limits)
+        dated, keys, order, 1, lambda w: [F.datediff("gameDate", F.lag("gameDate").over(w)).alias("RestDays")], limits)
+    return with_position(rested, keys, order, "GamesPlayed", limits)

@@ -35,19 +35,40 @@ def _outcomes(scored: DataFrame, stake: float, home_odds: str, away_odds: str) -
         "_away": F.when(~won, payout(F.col(away_odds), stake)).otherwise(-float(stake))})
 
 
-def _bucketed(out: DataFrame, units: str, wins: bool, bucket) -> DataFrame:
-    u = F.col(units)
-    return out.withColumn("k", bucket).groupBy("k").agg(
-        F.count("*").alias("n"), F.count_if((F.col("actual") == 1) == F.lit(wins)).alias("wins"),
-        F.sum(u).alias("total"), F.sum(u * u).alias("squares"), F.sum("proba").alias("proba"))
+def _bucketed(out: DataFrame, lowers: Sequence[float], uppers: Sequence[float]) -> DataFrame:
+    """Facts per pair of buckets: one pass, one small shuffle.
 
+    `hi` is the highest upper threshold a game reaches (-1: none), `lo` the lowest lower threshold it does not exceed
+    (their number: none).
+    """
+    p, won = F.col("proba"), F.col("actual") == 1
+    reach = F.size(F.filter(F.array(*map(F.lit, uppers)), lambda u: u <= p)) - 1
+    under = F.size(F.filter(F.array(*map(F.lit, lowers)), lambda v: v < p))
+    edge = (p >= min(uppers)) | (p <= max(lowers))
+    sides = [("hi", "_home", won), ("lo", "_away", ~won)]
+    return out.where(edge).groupBy(reach.alias("hi"), under.alias("lo")).agg(*[
+        e.alias(f"{tag}_{name}") for tag, units, win in sides for name, e in (
+            ("n", F.count("*")), ("wins", F.count_if(win)), ("total", F.sum(units)),
+            ("squares", F.sum(F.col(units) * F.col(units))), ("proba", F.sum("proba")))])
+
+
+def _by_side(buckets: DataFrame) -> DataFrame:
+    """Both sides' facts under common names, one row per side and bucket.
 
-def _summed(buckets: DataFrame, size: int, from_top: bool, tag: str) -> DataFrame:
-    """Bucket totals accumulated towards the middle: one row per threshold, at most `size` rows."""
-    spark = buckets.sparkSession
+    Writing both sides from one row keeps a single aggregation below, whichever side is asked for.
+    """
+    sides = F.array(*[
+        F.struct(F.lit(tag).alias("side"), F.col(tag).alias("k"), *[F.col(f"{tag}_{c}").alias(c) for c in _FACTS])
+        for tag in ("hi", "lo")])
+    return buckets.select(F.inline(sides)).groupBy("side", "k").agg(*[F.sum(c).alias(c) for c in _FACTS])
+
+
+def _summed(sides: DataFrame, size: int, from_top: bool, tag: str) -> DataFrame:
+    """One side accumulated towards the middle: one row per threshold, at most `size` rows."""
+    sums = sides.where((F.col("side") == tag) & F.col("k").between(0, size - 1)).drop("side")
+    every = sides.sparkSession.range(size).select(F.col("id").cast("int").alias("k"))
     w = Window.orderBy(F.col("k").desc() if from_top else F.col("k")).rowsBetween(Window.unboundedPreceding, 0)
-    every = spark.range(size).select(F.col("id").cast("int").alias("k"))
-    filled = every.join(F.broadcast(buckets), "k", "left").na.fill(0, list(_FACTS))
+    filled = every.join(F.broadcast(sums), "k", "left").na.fill(0, list(_FACTS))  # one row per threshold
     return filled.select(F.col("k").alias(tag), *[F.sum(c).over(w).alias(f"{tag}_{c}") for c in _FACTS])
 
 
@@ -116,12 +137,8 @@ def threshold_sweep(
     spark = scored.sparkSession
     lowers, uppers = grid_steps(*lower_range, step), grid_steps(*upper_range, step)
     out = _outcomes(scored, stake, home_odds, away_odds).where(F.col("proba").isNotNull())
-    p = F.col("proba")
-    # bucket of an upper bet: the highest threshold reached; of a lower bet: the lowest threshold not exceeded
-    reach = F.size(F.filter(F.array(*map(F.lit, uppers)), lambda u: u <= p)) - 1
-    under = F.size(F.filter(F.array(*map(F.lit, lowers)), lambda v: v < p))
-    home = _summed(_bucketed(out.where(p >= uppers[0]), "_home", True, reach), len(uppers), True, "hi")
-    away = _summed(_bucketed(out.where(p <= lowers[-1]), "_away", False, under), len(lowers), False, "lo")
+    sides = _by_side(_bucketed(out, lowers, uppers))
+    home, away = _summed(sides, len(uppers), True, "hi"), _summed(sides, len(lowers), False, "lo")
     cells = _cells(spark, lowers, uppers).join(F.broadcast(home), "hi").join(F.broadcast(away), "lo")
     both = {c: F.col(f"hi_{c}") + F.col(f"lo_{c}") for c in _FACTS}
     n, total = both["n"], both["total"]

@@ -1,6 +1,6 @@
 """Training, scoring and comparing Spark ML models on feature tables.
 
-Every model is a Spark ML pipeline (assemble, standardise, estimate), fitted and applied by Spark. Rows keep their
+Every model is a chain of Spark ML stages (assemble, standardise, estimate), fitted and applied by Spark. Rows keep their
 key through scoring, so predictions never have to be matched back by position.
 """
 
@@ -80,7 +80,7 @@ def estimator(kind: str, problem: str, features: int, classes: int = 2, seed: in
     return (LogisticRegression if classify else LinearRegression)(**common, **params)
 
 
-def pipeline(features: Sequence[str], final: Estimator) -> Pipeline:
+def chain(features: Sequence[str], final: Estimator) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="skip"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
@@ -129,7 +129,7 @@ def fit(
     kind, problem = kind_of(name), problem or problem_type(df, target)
     final = estimator(kind, problem, len(features), classes, seed, **params)
     rows = df.select(*features, F.col(target).cast("double").alias(LABEL))
-    return Trained(name, pipeline(features, final).fit(rows), list(features), problem, params)
+    return Trained(name, chain(features, final).fit(rows), list(features), problem, params)
 
 
 def _evaluator(problem: str, metric: str):
@@ -159,14 +159,14 @@ def search(
         folded = with_time_folds(rows, time_col, key, folds).cache()
         scores = []
         for p in tried:
-            line = pipeline(features, estimator(kind, problem, len(features), seed=seed, **p))
+            line = chain(features, estimator(kind, problem, len(features), seed=seed, **p))
             got = [ev.evaluate(line.fit(folded.where(F.col("fold") < i)).transform(folded.where(F.col("fold") == i)))
                    for i in range(1, folds + 1)]
             scores.append(sum(got) / len(got))
         folded.unpersist()
     else:
         folded = with_folds(rows, key, folds, seed)
-        base = pipeline(features, estimator(kind, problem, len(features), seed=seed))
+        base = chain(features, estimator(kind, problem, len(features), seed=seed))
         grid = [_as_param_map(base.getStages()[-1], kind, len(features), p) for p in tried]
         scores = CrossValidator(
             estimator=base, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds, parallelism=parallelism,

@@ -100,6 +100,7 @@ BASEBALL = [
         partition_by=("game_year",), identity=("pitch_id",), note="one row per pitch"),
 ]
 
+# Columns and keys of the college basketball tables.
 BASKETBALL = [
     TableSpec("ConferenceInfo", ("conferenceId",),
               "conferenceId string, sourceId string, name string, abbreviation string, shortName string",
@@ -154,6 +155,7 @@ BASKETBALL_TABLES = registry(BASKETBALL)
 
 # ---- nested landing documents -------------------------------------------------------------------------------
 
+# Field names of the landing documents.
 _SHOOTING = "struct<made:long,attempted:long,pct:double>"
 
 TEAM_BOXSCORE_JSON = (

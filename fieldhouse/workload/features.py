@@ -94,7 +94,7 @@ _HOOPS_LONG = "long AS (" + _long_sql(
     {"Pace": "Pace", "OrbPct": "OrbPct", "PointsOffTO": "PointsOffTO", "Rating": "Rating"},
     "TeamId", "teamId", "hoops", "gameId, season, startDate") + ")"
 _HOOPS_W = "PARTITION BY teamId, season ORDER BY startDate, gameId, side"
-_DAY_W = "PARTITION BY teamId, season ORDER BY gameDate, gameId, side"
+_DAY_W = _HOOPS_W  # days follow start times
 
 
 @query("hoops_fatigue", f"""

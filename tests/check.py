@@ -1,5 +1,9 @@
-"""python tests/check.py [sf] [name-prefix ...] — compare registered queries with their SQL."""
+"""python tests/check.py [sf] [name-prefix ...] — compare registered queries with their SQL.
 
+With TIGHT=1 the size limits are so small that every query takes its split plans.
+"""
+
+import os
 import sys
 import time
 
@@ -16,6 +20,9 @@ if __name__ == "__main__":
     spark = build_session(master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
                           spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("TIGHT"):
+        for name, value in (("group_rows", 200), ("broadcast_rows", 20), ("probe_free_bytes", 0), ("broadcast_free_bytes", 0)):
+            spark.conf.set(f"fieldhouse.{name}", str(value))
     d, sqls, bad = f"/root/testdata/sf{sf}", entry.oracle_sql(), 0
     for name, fn in entry.queries().items():
         if names and not any(name.startswith(n) for n in names):
