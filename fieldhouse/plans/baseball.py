@@ -45,12 +45,12 @@ def read_games(df: DataFrame) -> DataFrame:
 
 def rolling_differences(
     games: DataFrame, stats: Sequence[str], windows: Sequence[int], entity: str = "TeamId",
-    entity_as: str = "teamId", label: str = "{stat}_diff_l{n}", sparse: bool = False, limits: Limits | None = None,
+    entity_as: str = "teamId", label: str = "{stat}_diff_l{n}", limits: Limits | None = None,
 ) -> DataFrame:
     """`gameId` and home-minus-away differences of the rolling means of each stat."""
     long = to_long(games, stats, entity, entity_as)
     stats = [s for s in stats if s in long.columns]
-    rolled = rolling_means(long, stats, windows, entity_as, sparse=sparse, limits=limits)
+    rolled = rolling_means(long, stats, windows, entity_as, sparse=True, limits=limits)
     names = [(s, n) for s in stats for n in windows]
     wide = by_game(rolled, [f"{s}_roll{n}" for s, n in names], {side: f"{side}_" for side in SIDES})
     return wide.select("gameId", *[
@@ -71,7 +71,7 @@ def add_pitcher_form(games: DataFrame, stats: Sequence[str], windows: Sequence[i
     if "homeStartingPitcherId" not in games.columns or not have:
         return games
     diffs = rolling_differences(games, have, windows, "StartingPitcherId", "pitcherId", "{stat}_diff_l{n}",
-                                sparse=True, limits=limits)
+                                limits=limits)
     named = diffs.select("gameId", *[
         F.col(c).alias("sp_" + c.removeprefix("sp_")) for c in diffs.columns if c != "gameId"])
     return games.join(named, "gameId", "left")

@@ -8,6 +8,7 @@ from fieldhouse.operators import metrics as mt
 from fieldhouse.plans import basketball
 from fieldhouse.plans import models as md
 from fieldhouse.plans.picks_job import spread_picks
+from fieldhouse.session import pinned
 from fieldhouse.workload.features import model_table
 from fieldhouse.workload.registry import query
 from fieldhouse.workload.views import hoops
@@ -17,8 +18,12 @@ TARGET = "homeWin"
 
 
 def rows(spark, d):
-    """Labelled rows, cached for the passes of the fits."""
-    return model_table(spark, d).dropna(subset=[TARGET, *FEATURES]).select("gameId", "gameDate", TARGET, *FEATURES).cache()
+    return model_table(spark, d).dropna(subset=[TARGET, *FEATURES]).select("gameId", "gameDate", TARGET, *FEATURES)
+
+
+def fixed_rows(spark, d):
+    """Labelled rows written once, for queries that fit several models on them."""
+    return pinned(rows(spark, d))
 
 
 def _scores(spark, d, name, **params):
@@ -56,7 +61,7 @@ def scores_regression(spark, d):
 
 @query("time_split_metrics")
 def time_split_metrics(spark, d):
-    t = md.train(rows(spark, d), TARGET, FEATURES, "gameId", "lr", "classification", "precision", folds=2, split="time",
+    t = md.train(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", "classification", "precision", folds=2, split="time",
                  time_col="gameDate", candidates=[{"regParam": 0.001}, {"regParam": 0.1}])
     return t.metrics(t.test, TARGET)
 
@@ -64,7 +69,7 @@ def time_split_metrics(spark, d):
 @query("cross_validated_search")
 def cross_validated_search(spark, d):
     tried = [{"regParam": 0.001}, {"regParam": 0.1}]
-    best, scores = md.search(rows(spark, d), TARGET, FEATURES, "gameId", "lr", folds=3, candidates=tried)
+    best, scores = md.search(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", folds=3, candidates=tried)
     return spark.createDataFrame([(p["regParam"], s, p == best) for p, s in zip(tried, scores, strict=True)],
                                  "regParam double, score double, best boolean")
 
@@ -77,7 +82,7 @@ def importance_boosted(spark, d):
 
 @query("importance_permuted")
 def importance_permuted(spark, d):
-    df = rows(spark, d)
+    df = fixed_rows(spark, d)
     return md.permutation_importance(md.fit(df, TARGET, FEATURES, "lr", "classification"), df, TARGET, "gameId", repeats=1)
 
 
@@ -88,13 +93,13 @@ def _pair(df):
 
 @query("ensemble_vote")
 def ensemble_vote(spark, d):
-    df = rows(spark, d)
+    df = fixed_rows(spark, d)
     return md.vote(_pair(df), df, {"lr": 2.0, "rf": 1.0}).select("gameId", "lr_score", "rf_score", "predProb", "predClass")
 
 
 @query("ensemble_stack")
 def ensemble_stack(spark, d):
-    df = rows(spark, d)
+    df = fixed_rows(spark, d)
     s = md.stack(df, TARGET, FEATURES, "gameId", ["lr", "rf"], {"rf": {"numTrees": 10, "maxDepth": 3}}, folds=2)
     return s.score(df).select("gameId", "lr_score", "rf_score", "predProb", "predClass")
 
@@ -107,7 +112,7 @@ def ensemble_boosting(spark, d):
 
 @query("repeated_training")
 def repeated_training(spark, d):
-    scores, _ = md.repeat_training(rows(spark, d), TARGET, FEATURES, "gameId", "lr", runs=2)
+    scores, _ = md.repeat_training(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", runs=2)
     return mt.average_over_runs(scores)
 
 

@@ -310,6 +310,22 @@ def baseball_game_view(spark, d):
                        "homeMoneyline", "overUnder")
 
 
+@query("college_game_view", f"""
+WITH {GAMES_CTE} SELECT gameId::VARCHAR AS gameId, season, homeTeamId::VARCHAR AS homeTeamId, homeRuns AS homePoints,
+  CASE WHEN gameId % 10 <> 0 THEN homeRuns * 1.5::DOUBLE END AS homePace, CASE WHEN gameId % 10 <> 0 THEN awayRuns * 1.5::DOUBLE END AS awayPace,
+  CASE WHEN gameId % 10 <> 0 THEN homeERA END AS homeOrbPct, CASE WHEN gameId % 10 <> 0 THEN awayRuns + 1 END AS awayPointsOffTO,
+  homeSpread, overUnder::DOUBLE AS overUnder FROM games""")
+def college_game_view(spark, d):
+    text = {c: F.col(c).cast("string").alias(c) for c in ("gameId", "homeTeamId", "awayTeamId")}
+    g = games(spark, d).select(
+        *text.values(), "season", F.col("gameDate").alias("startDate"), F.col("homeRuns").alias("homePoints"),
+        F.col("awayRuns").alias("awayPoints"), F.lit(0).alias("conferenceGame"), F.lit(0).alias("neutralSite"))
+    box = ns.college_team_boxscores(ns.team_boxscores(team_docs(spark, d)))
+    lines = ns.college_lines(ns.game_lines(line_docs(spark, d)))
+    return om.college_game_view(g, box, lines, "Bovada").select(
+        "gameId", "season", "homeTeamId", "homePoints", "homePace", "awayPace", "homeOrbPct", "awayPointsOffTO", "homeSpread", "overUnder")
+
+
 # ---- reference data ----------------------------------------------------------------------------------------
 
 
