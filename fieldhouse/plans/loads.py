@@ -7,12 +7,21 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldhouse import schemas as sc
-from fieldhouse.functions.calendar import recent
+from fieldhouse.functions.calendar import (
+    ODDS_DEFAULT,
+    ODDS_SEASONS,
+    PITCH_DEFAULT,
+    PITCH_SEASONS,
+    recent,
+    season_bounds,
+)
 from fieldhouse.operators import cleaning as cl
 from fieldhouse.operators import nested as ns
-from fieldhouse.sources.files import read_landing, season_scan
+from fieldhouse.operators.profile import has_data
+from fieldhouse.sources.files import pitch_scan, read_landing, season_scan
 from fieldhouse.sources.tables import LoadResult, TableStore
 
 
@@ -91,6 +100,34 @@ def build_tables(
     return run_log(store.spark, log)
 
 
+def load_pitches(
+    store: TableStore, raw: DataFrame, start: str, end: str, arrival: Sequence[str], team: str | None = None,
+    dry_run: bool = False, only_if_absent: bool = False,
+) -> LoadResult:
+    """Pitches of a date range into their table, as one merge whatever its size.
+
+    `only_if_absent` leaves the table alone when it already holds rows of the range.
+    """
+    spec = sc.BASEBALL_TABLES["StatcastPitches"]
+    if only_if_absent and store.exists(spec) and has_data(store.read(spec), "game_date", start, end):
+        return LoadResult(spec.name, dry_run=dry_run)
+    return store.upsert(cl.clean_pitches(pitch_scan(raw, start, end, team), list(arrival)), spec, dry_run)
+
+
+def load_pitch_season(store: TableStore, raw: DataFrame, season: int, arrival: Sequence[str], **kw) -> LoadResult:
+    start, end = season_bounds(season, PITCH_SEASONS, PITCH_DEFAULT)
+    return load_pitches(store, raw, start, end, arrival, **kw)
+
+
+def load_odds_seasons(store: TableStore, pages: DataFrame, seasons: Sequence[int], dry_run: bool = False) -> LoadResult:
+    """Odds pages of several seasons; their days are filters on one scan."""
+    day, wanted = F.col("date").cast("date"), F.lit(False)
+    for s in seasons:
+        first, last = season_bounds(s, ODDS_SEASONS, ODDS_DEFAULT)
+        wanted = wanted | day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return load(store, BASEBALL_LOADS["BettingOdds"], pages.where(wanted), dry_run)
+
+
 def run_log(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(
         rows, "step string, success boolean, inserted long, updated long, begun timestamp, finished timestamp, error string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fieldhouse.functions.calendar import PITCH_DEFAULT, PITCH_SEASONS, season_bounds
 from fieldhouse.operators import upsert as up
 from fieldhouse.operators.profile import repeated_keys
 from fieldhouse.operators.sizing import Limits
@@ -105,6 +106,14 @@ def date_and_team_scan(spark, d):
     return pitch_scan(rows, "1997-01-01", "1997-06-30", "A", day="l_shipdate").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query("season_pitch_days", """
+SELECT l_shipdate::DATE AS day, count(*) AS pitches FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1998-03-28' AND TIMESTAMP '1998-10-01' GROUP BY 1""")
+def season_pitch_days(spark, d):
+    start, end = season_bounds(1998, PITCH_SEASONS, PITCH_DEFAULT)
+    rows = pitch_scan(table(spark, d, "lineitem"), start, end, day="l_shipdate")
+    return rows.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("pitches"))
+
+
 @query("bag_union_of_seasons", f"""
 WITH {GAMES_CTE} SELECT gameId, season FROM games WHERE season = 1996 UNION ALL SELECT gameId, season FROM games WHERE season IN (1996, 1997)""")
 def bag_union(spark, d):

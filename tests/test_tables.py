@@ -199,3 +199,39 @@ def test_required_columns(spark):
         cl.clean_teams(spark.createDataFrame([("1", "2024", "x")], "team_id string, season string, team_name string"))
     assert sh.empty_like(spark.range(3)).count() == 0
     assert sh.preview(spark.range(9), 4).count() == 4
+
+
+def _pitches(spark, days, speed="95.5"):
+    rows = [(700000 + i, d, int(d[:4]), 1, 1, 10, 20, speed, "foul", "home", "NYY", "BOS", i) for i, d in enumerate(days)]
+    return spark.createDataFrame(
+        rows, "game_pk int, game_date string, game_year int, at_bat_number int, pitch_number int, pitcher int, batter int, "
+              "release_speed string, description string, player_name string, home_team string, away_team string, arrived int")
+
+
+def test_pitch_loads(spark, store):
+    spec = sc.BASEBALL_TABLES["StatcastPitches"]
+    raw = _pitches(spark, ["2024-04-01", "2024-04-02", "2023-04-05", "2024-12-01"])
+    assert loads.load_pitches(store, raw, "2024-04-01", "2024-04-01", ["arrived"]).inserted == 1
+    done = loads.load_pitch_season(store, raw, 2024, ["arrived"])
+    assert (done.inserted, done.unchanged) == (1, 1)
+    again = loads.load_pitch_season(store, raw, 2024, ["arrived"], only_if_absent=True)
+    assert again.inserted == 0 and store.read(spec).count() == 2
+    faster = loads.load_pitch_season(store, _pitches(spark, ["2024-04-01", "2024-04-02"], "99.25"), 2024, ["arrived"])
+    assert faster.updated == 2
+    assert {str(r["release_speed"]) for r in store.read(spec).collect()} == {"99.25"}
+    assert loads.load_pitches(store, raw, "2023-01-01", "2023-12-31", ["arrived"], team="LAD").inserted == 0
+
+
+def test_odds_seasons(spark, store):
+    def page(day):
+        line = {"total": 8.5, "overOdds": -110, "underOdds": -105}
+        row = {"gameView": {"gameId": day, "awayTeam": {"name": "A"}, "homeTeam": {"name": "H"}, "startDate": f"{day}T18:00:00+00:00"},
+               "oddsViews": [{"sportsbook": "alpha", "currentLine": line}, None]}
+        doc = {"props": {"pageProps": {"oddsTables": [{"gameRows": [None, row]}]}}}
+        return (day, "total", f'<script id="__NEXT_DATA__" type="application/json">{json.dumps(doc)}</script>')
+
+    pages = spark.createDataFrame([page("2020-06-01"), page("2020-08-01"), page("2021-05-01")], "date string, bet_type string, html string")
+    assert loads.load_odds_seasons(store, pages, [2020]).inserted == 1
+    assert loads.load_odds_seasons(store, pages, [2020, 2021]).inserted == 1
+    row = store.read(sc.BASEBALL_TABLES["BettingOdds"]).where("game_id = '2020-08-01'").first()
+    assert (float(row["total"]), row["over_odds"], row["game_time"]) == (8.5, -110, dt.datetime(2020, 8, 1, 18))
