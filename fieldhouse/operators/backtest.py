@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldhouse.functions.odds import in_tails, payout
 from fieldhouse.operators.ordering import with_running, with_trailing
-from fieldhouse.operators.sizing import Limits, groups_fit
+from fieldhouse.operators.sizing import Limits, beside, groups_fit
 
 ORDER = ("gameDate", "gameId")
 MIN_BETS = 10
@@ -91,7 +90,7 @@ def summarise(
     totals = bets.agg(
         F.count("*").alias("bets"), F.avg("win").alias("win"), F.avg("units").alias("mean"),
         F.sum("units").alias("total"), F.stddev_samp("units").alias("std"), F.avg("proba").alias("proba"))
-    both = totals.crossJoin(F.broadcast(max_drawdown(bets, order, limits)))  # one row each
+    both = beside(totals, max_drawdown(bets, order, limits))
     return both.where(F.col("bets") >= min_bets).select("bets", *rate_columns(stake))
 
 
@@ -141,7 +140,7 @@ def selectivity(scored: DataFrame, bets: DataFrame, limits: Limits | None = None
         F.count_if((side == 0) & (win == 1)).alias("away_correct"), F.avg(F.when(win == 1, units)).alias("avg_win"),
         F.avg(F.when(win == 0, units)).alias("avg_loss"))
     peak = bet_log(bets, limits=limits).agg(F.max("cum_units").alias("peak_units"))
-    one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), [facts, peak, games])  # single rows
+    one = beside(beside(facts, peak), games)
     return one.withColumns({
         "bet_pct": F.col("bets") * 100.0 / F.col("games"),
         "pass_pct": (F.col("games") - F.col("bets")) * 100.0 / F.col("games")})
@@ -167,7 +166,7 @@ def compare_summaries(optimised: DataFrame, evaluated: DataFrame, tolerated_drop
     names = ["bets", "win_rate", "roi_per_bet", "sharpe"]
     a = optimised.select([F.col(c).alias(f"opt_{c}") for c in names])
     b = evaluated.select([F.col(c).alias(f"eval_{c}") for c in names])
-    out = a.crossJoin(F.broadcast(b)).withColumns({f"{c}_diff": F.col(f"eval_{c}") - F.col(f"opt_{c}") for c in names})
+    out = beside(a, b).withColumns({f"{c}_diff": F.col(f"eval_{c}") - F.col(f"opt_{c}") for c in names})
     roi = F.col("eval_roi_per_bet")
     return out.withColumns({
         "generalises": F.col("roi_per_bet_diff") >= tolerated_drop,

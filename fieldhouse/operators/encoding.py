@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fieldhouse.operators.ordering import with_running
 from fieldhouse.operators.shape import target_last, text_for_objects
-from fieldhouse.operators.sizing import Limits
+from fieldhouse.operators.sizing import Limits, beside
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -43,7 +43,7 @@ def exact_median(df: DataFrame, value: str, limits: Limits | None = None) -> Dat
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
     placed = with_running(counts, [], [value], totals={"_upto": F.col("_n")}, limits=limits)
     total = counts.agg(F.sum("_n").alias("_all"))
-    at = placed.crossJoin(F.broadcast(total))  # one-row total
+    at = beside(placed, total)
     low, high = F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")
     return at.agg(((F.min(F.when(F.col("_upto") >= low, F.col(value)))
                     + F.min(F.when(F.col("_upto") >= high, F.col(value)))) / 2.0).alias("median"))

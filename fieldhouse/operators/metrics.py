@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldhouse.operators.encoding import exact_median
 from fieldhouse.operators.ordering import with_running, with_trailing
-from fieldhouse.operators.sizing import Limits, lookup
+from fieldhouse.operators.sizing import Limits, beside, lookup
 
 # Metrics where a lower value is better.
 MINIMISED = ("mse", "rmse", "mae")
@@ -50,7 +50,7 @@ def class_report(pairs: DataFrame) -> DataFrame:
         part(~F.col("hit") & F.col("as_actual")).alias("fn"))
     total = pairs.agg(F.sum("n").alias("total"))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return by_class.crossJoin(F.broadcast(total)).select(  # one-row total
+    return beside(by_class, total).select(
         "class", "tp", "fp", "fn", (F.col("total") - tp - fp - fn).alias("tn"), (tp + fn).alias("support"),
         F.try_divide(tp.cast("double"), (tp + fn).cast("double")).alias("recall"),
         F.try_divide(tp.cast("double"), (tp + fp).cast("double")).alias("precision"))
@@ -77,7 +77,7 @@ def classification_metrics(pairs: DataFrame) -> DataFrame:
     f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), zero)
     weight = F.col("support") / F.col("all")
     total = r.agg(F.sum("support").alias("all"))
-    return r.crossJoin(F.broadcast(total)).agg(  # one-row total
+    return beside(r, total).agg(
         (F.sum("tp") / F.max("all")).alias("accuracy"), F.sum(precision * weight).alias("precision"),
         F.sum(recall * weight).alias("recall"), F.sum(f1 * weight).alias("f1"))
 
@@ -90,7 +90,7 @@ def regression_metrics(df: DataFrame, actual: str = "actual", pred: str = "predi
         (1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"), mse.alias("mse"), F.sqrt(mse).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"), (F.avg(F.when(y != 0, F.abs(e / y))) * 100).alias("mape"))
     middle = exact_median(df.select(F.abs(e).alias("_ae")), "_ae", limits).withColumnRenamed("median", "median_ae")
-    return sums.crossJoin(F.broadcast(middle)).select("r2", "mse", "rmse", "mae", "median_ae", "mape")  # one row each
+    return beside(sums, middle).select("r2", "mse", "rmse", "mae", "median_ae", "mape")
 
 
 def worst_predictions(df: DataFrame, k: int = 5, actual: str = "actual", pred: str = "predicted", key: str = "gameId") -> DataFrame:
@@ -128,7 +128,7 @@ def roc_points(scored: DataFrame, keys: Sequence[str] = (), proba: str = "proba"
     totals = counts.groupBy(*keys).agg(F.sum("pos").alias("p_all"), F.sum("neg").alias("n_all"))
     placed = with_running(counts, list(keys), [F.col("score").desc()],
                           totals={"tp": F.col("pos"), "fp": F.col("neg")}, limits=limits)
-    joined = placed.join(lookup(totals), list(keys)) if keys else placed.crossJoin(F.broadcast(totals))
+    joined = placed.join(lookup(totals), list(keys)) if keys else beside(placed, totals)
     return joined.select(
         *keys, "score", "tp", "fp", "p_all", "n_all", (F.col("fp") / F.col("n_all")).alias("fpr"),
         (F.col("tp") / F.col("p_all")).alias("tpr"))
@@ -169,7 +169,7 @@ def performance_weights(metrics: DataFrame, higher_is_better: bool = True, floor
     is not positive counts as 1.
     """
     facts = metrics.agg(F.min("value").alias("low"))
-    raw = metrics.crossJoin(F.broadcast(facts))  # one-row totals
+    raw = beside(metrics, facts)
     v = F.col("value")
     if higher_is_better:
         raw = raw.withColumn("raw", F.when(F.col("low") < 0, v - F.col("low") + floor).otherwise(v))
@@ -177,7 +177,7 @@ def performance_weights(metrics: DataFrame, higher_is_better: bool = True, floor
         raw = raw.withColumn("raw", F.when(v > 0, 1.0 / v).otherwise(F.lit(1.0)))
     total = raw.agg(F.sum("raw").alias("total"), F.count("*").alias("models"))
     weight = F.when(F.col("total") > 0, F.col("raw") * F.col("models") / F.col("total")).otherwise(1.0)
-    return raw.crossJoin(F.broadcast(total)).select("model", "value", weight.alias("weight"))
+    return beside(raw, total).select("model", "value", weight.alias("weight"))
 
 
 def position_weights(models: Sequence[str]) -> dict[str, float]:

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from fieldhouse.operators.sizing import Limits, groups_fit, lookup
+from fieldhouse.operators.sizing import Limits, beside, groups_fit, lookup
 from fieldhouse.session import pinned
 
 CHUNK = "_chunk"
@@ -144,7 +144,7 @@ def average_rank(
     placed = with_running(counts, keys, [value], totals={"_upto": F.col("_n")}, limits=limits)
     totals = counts.groupBy(*keys).agg(
         F.sum("_n").alias("_all"), (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("_mean"))
-    ranked = placed.join(lookup(totals, limits), list(keys)) if keys else placed.crossJoin(F.broadcast(totals))
+    ranked = placed.join(lookup(totals, limits), list(keys)) if keys else beside(placed, totals)
     rank = F.col("_upto") - (F.col("_n") - 1) / F.lit(2.0)
     cols = [(rank / F.col("_all")).alias(pct)] + ([F.col("_mean").alias(mean)] if mean else [])
     table = ranked.select(*keys, value, *cols)

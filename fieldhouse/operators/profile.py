@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldhouse.operators.sizing import beside
+
 
 def date_range_summary(df: DataFrame, day: str, game: str, start: str, end: str) -> DataFrame:
     """First and last day, rows and distinct games between two days, both inclusive: one row."""
@@ -72,4 +74,4 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and share of each value, NULL included. The shares divide by a one-row total of the counts."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("_all"))
-    return counts.crossJoin(F.broadcast(total)).select(column, "n", (F.col("n") / F.col("_all")).alias("share"))
+    return beside(counts, total).select(column, "n", (F.col("n") / F.col("_all")).alias("share"))

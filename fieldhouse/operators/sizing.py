@@ -64,6 +64,12 @@ def groups_fit(df: DataFrame, keys: Sequence[str], limits: Limits | None = None)
     return _under(df, limits.probe_free_bytes) or largest_group(df, keys) <= limits.group_rows
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The columns of a one-row frame next to every row of `df`, as a scalar subquery: no join is involved."""
+    value = one_row.select(F.struct(*one_row.columns).alias("_one")).scalar()
+    return df.withColumn("_one", value).select(*df.columns, "_one.*")
+
+
 def lookup(df: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Mark a lookup side for broadcast only after its size is known; otherwise leave the join to AQE."""
     limits = limits or Limits.of(df.sparkSession)

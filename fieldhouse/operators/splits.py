@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.operators.ordering import with_position, with_running
-from fieldhouse.operators.sizing import Limits
+from fieldhouse.operators.sizing import Limits, beside
 
 
 def row_hash(key: Sequence[str], seed: int) -> Column:
@@ -26,7 +26,7 @@ def split_by_time(
     counts = df.groupBy(time).agg(F.count("*").alias("n"))
     moments = with_running(counts, [], [time], totals={"upto": F.col("n")}, limits=limits)
     take = F.round(F.col("total") * F.lit(1.0 - test_size), 6).cast("long")
-    sized = moments.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).withColumn("take", take)  # one-row total
+    sized = beside(moments, counts.agg(F.sum("n").alias("total"))).withColumn("take", take)
     # the moment at which the training part is full: one row
     at = sized.where("take > 0 AND take < total AND upto >= take").orderBy(time).select(
         time, (F.col("take") - (F.col("upto") - F.col("n"))).alias("need")).first()
@@ -54,7 +54,7 @@ def split_random(
     buckets = hashed.groupBy(*by, "_b").agg(F.count("*").alias("n"))
     upto = with_running(buckets, by, ["_b"], totals={"upto": F.col("n")}, limits=limits)
     sizes = buckets.groupBy(*by).agg(F.floor(F.sum("n") * F.lit(test_size) + 0.5).alias("k"))
-    located = (upto.join(F.broadcast(sizes), by) if by else upto.crossJoin(F.broadcast(sizes))).where(
+    located = (upto.join(F.broadcast(sizes), by) if by else beside(upto, sizes)).where(
         (F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
     cuts = located.select(
         *[F.col(c).alias(f"_of_{c}") for c in by], F.col("_b").alias("_cut"),

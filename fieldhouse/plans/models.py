@@ -30,6 +30,7 @@ from fieldhouse.operators import metrics as mt
 from fieldhouse.operators.encoding import problem_type
 from fieldhouse.operators.ordering import with_position
 from fieldhouse.operators.shape import align_features
+from fieldhouse.operators.sizing import beside
 from fieldhouse.operators.splits import row_hash, split_by_time, split_random, with_folds, with_time_folds
 
 LABEL = "label"
@@ -117,8 +118,7 @@ class Trained:
             return mt.regression_metrics(scored, target, "prediction")
         named = scored.select(F.col(target).cast("int").alias("actual"), F.col("predClass").alias("pred"),
                               F.col("predProb").alias("proba"))
-        both = mt.classification_metrics(mt.confusion(named)).crossJoin(F.broadcast(mt.auc(named)))  # one row each
-        return both
+        return beside(mt.classification_metrics(mt.confusion(named)), mt.auc(named))
 
 
 def fit(
