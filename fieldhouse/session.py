@@ -18,6 +18,7 @@ def build_session(app: str = "fieldhouse", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():

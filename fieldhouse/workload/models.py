@@ -17,13 +17,13 @@ FEATURES = ["runs_diff_l3", "hits_diff_l3", "obp_diff_l3", "favoriteDegree", "im
 TARGET = "homeWin"
 
 
-def rows(spark, d):
-    return model_table(spark, d).dropna(subset=[TARGET, *FEATURES]).select("gameId", "gameDate", TARGET, *FEATURES)
+def fixed(df, target=TARGET, keep=()):
+    """Labelled rows written once, as a fit reads them many times."""
+    return pinned(df.dropna(subset=[target, *FEATURES]).select("gameId", *keep, target, *FEATURES))
 
 
-def fixed_rows(spark, d):
-    """Labelled rows written once, for queries that fit several models on them."""
-    return pinned(rows(spark, d))
+def rows(spark, d):
+    return fixed(model_table(spark, d), keep=["gameDate"])
 
 
 def _scores(spark, d, name, **params):
@@ -54,14 +54,14 @@ def scores_network(spark, d):
 
 @query("scores_regression")
 def scores_regression(spark, d):
-    df = model_table(spark, d).dropna(subset=["overUnder", *FEATURES])
+    df = fixed(model_table(spark, d), "overUnder")
     m = md.fit(df, "overUnder", FEATURES, "linear", "regression")
     return m.score(df).select("gameId", "overUnder", "prediction")
 
 
 @query("time_split_metrics")
 def time_split_metrics(spark, d):
-    t = md.train(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", "classification", "precision", folds=2, split="time",
+    t = md.train(rows(spark, d), TARGET, FEATURES, "gameId", "lr", "classification", "precision", folds=2, split="time",
                  time_col="gameDate", candidates=[{"regParam": 0.001}, {"regParam": 0.1}])
     return t.metrics(t.test, TARGET)
 
@@ -69,7 +69,7 @@ def time_split_metrics(spark, d):
 @query("cross_validated_search")
 def cross_validated_search(spark, d):
     tried = [{"regParam": 0.001}, {"regParam": 0.1}]
-    best, scores = md.search(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", folds=3, candidates=tried)
+    best, scores = md.search(rows(spark, d), TARGET, FEATURES, "gameId", "lr", folds=3, candidates=tried)
     return spark.createDataFrame([(p["regParam"], s, p == best) for p, s in zip(tried, scores, strict=True)],
                                  "regParam double, score double, best boolean")
 
@@ -82,7 +82,7 @@ def importance_boosted(spark, d):
 
 @query("importance_permuted")
 def importance_permuted(spark, d):
-    df = fixed_rows(spark, d)
+    df = rows(spark, d)
     return md.permutation_importance(md.fit(df, TARGET, FEATURES, "lr", "classification"), df, TARGET, "gameId", repeats=1)
 
 
@@ -93,13 +93,13 @@ def _pair(df):
 
 @query("ensemble_vote")
 def ensemble_vote(spark, d):
-    df = fixed_rows(spark, d)
+    df = rows(spark, d)
     return md.vote(_pair(df), df, {"lr": 2.0, "rf": 1.0}).select("gameId", "lr_score", "rf_score", "predProb", "predClass")
 
 
 @query("ensemble_stack")
 def ensemble_stack(spark, d):
-    df = fixed_rows(spark, d)
+    df = rows(spark, d)
     s = md.stack(df, TARGET, FEATURES, "gameId", ["lr", "rf"], {"rf": {"numTrees": 10, "maxDepth": 3}}, folds=2)
     return s.score(df).select("gameId", "lr_score", "rf_score", "predProb", "predClass")
 
@@ -112,7 +112,7 @@ def ensemble_boosting(spark, d):
 
 @query("repeated_training")
 def repeated_training(spark, d):
-    scores, _ = md.repeat_training(fixed_rows(spark, d), TARGET, FEATURES, "gameId", "lr", runs=2)
+    scores, _ = md.repeat_training(rows(spark, d), TARGET, FEATURES, "gameId", "lr", runs=2)
     return mt.average_over_runs(scores)
 
 
@@ -122,7 +122,7 @@ def daily_spread_picks(spark, d):
     games = hoops(spark, d)
     as_of = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     table = basketball.build_model_table(games, basketball.SPREAD_STATS, [3], "homeCover")
-    history = table.where(F.col("startDate") < as_of).dropna(subset=["homeCover", *basketball.SPREAD_FEATURES])
+    history = pinned(table.where(F.col("startDate") < as_of).dropna(subset=["homeCover", *basketball.SPREAD_FEATURES]))
     m = md.fit(history, "homeCover", basketball.SPREAD_FEATURES, "lr", "classification")
     info = games.select("gameId", "startDate", F.concat(F.lit("Team "), "homeTeamId").alias("homeTeam"),
                         F.concat(F.lit("Team "), "awayTeamId").alias("awayTeam"), F.lit("Hall").alias("venue"))
