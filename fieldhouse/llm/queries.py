@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert
+from fieldhouse.llm import hilbert, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +34,9 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, d, "documents")).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
