@@ -97,3 +97,34 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     some = length > 0
     h[some] = np.add.reduceat(mix((place.astype(U) << U(8)) | taken.astype(U)), first[some])
     return mix(h + length.astype(U))
+
+PIECE = 1 << 19
+"""Bytes whose words are hashed together; a longer text is cut between words."""
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, low: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of every word, 64 bits, of any number of texts of any length; `low` lower-cases A to Z."""
+    hashes, texts = [], []
+    for i, j in chunks(offsets, PIECE):
+        at, hi = int(offsets[i]), int(offsets[j])
+        while at < hi:
+            end = hi
+            if hi - at > PIECE:
+                gap = np.flatnonzero(SPACE[data[at:at + PIECE]])
+                if len(gap):
+                    end = at + int(gap[-1]) + 1
+            part = data[at:end]
+            if low:
+                part = LOWER[part]
+            start, stop, text = words(part, offsets[i:j + 1] - at if j > i + 1 else np.array([0, end - at]))
+            hashes.append(span_hashes(part, start, stop))
+            texts.append(text + i)
+            at = end
+    if not hashes:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(texts)
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+"""Lower case of the letters A to Z; all other bytes stay."""

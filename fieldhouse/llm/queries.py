@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, suffixes
+from fieldhouse.llm import hilbert, merges, minhash, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +41,41 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
 def op2(spark: SparkSession, d: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, d, "documents")).select(
         "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+    return scored.select(
+        "row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_merge_dropout")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    """Every text encoded with a tenth of its merges skipped, and decoded again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = merges.decode(merges.encode(table(spark, d, "documents"), model, seed=2024, rate=0.1), model)
+    crc = lambda c: F.crc32(F.encode(F.coalesce(c, F.lit("")), "UTF-8"))
+    return back.select(
+        "row.doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        crc(F.col("row.text")).alias("text_crc32"), crc(F.col("decoded")).alias("decoded_crc32"),
+        F.col("decoded").eqNullSafe(F.col("row.text")).alias("lossless"))
+
+
+@query("op6_minhash_near_dedup", """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+              ELSE list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)]) END AS sh FROM w),
+    x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN s AS sa ON sa.doc_id = a JOIN s AS sb ON sb.doc_id = b
+          WHERE 100 * n >= 85 * (len(sa.sh) + len(sb.sh) - n)),
+    r(node, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.other),
+    c AS (SELECT node, min(other) AS component_id FROM r GROUP BY 1)
+    SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM s JOIN c ON c.node = s.doc_id""")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, d, "documents"), width=3, percent=85)
