@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, suffixes, toxicity
+from fieldhouse.llm import hilbert, merges, minhash, packing, rules, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,14 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
     FROM s JOIN c ON c.node = s.doc_id""")
 def op6(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, d, "documents"), width=3, percent=85)
+
+
+@query("op5_risk_controlled_rules")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return rules.judged(table(spark, d, "documents"), table(spark, d, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+@query("op7_linear_grouping_packing")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
