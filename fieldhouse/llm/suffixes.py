@@ -9,15 +9,17 @@ cluster.
 
 Sorting across the cluster, from the shallowest bucket to the full depth:
 
-1. Of each window of 200 bytes the place with the smallest 64-byte bucket identifier is its anchor (equal windows have
-   equal anchors). Runs of neighbouring windows share an anchor, about one run per 69 bytes. Runs whose anchor's bucket
+1. Of each window of 200 bytes the place with the smallest 32-byte bucket identifier is its anchor (equal windows have
+   equal anchors). Runs of neighbouring windows share an anchor, about one run per 85 bytes. Runs whose anchor's bucket
    has no other member are decided: none of their windows occurs twice.
 2. A run's context (everything its windows cover) is named too. In a bucket, runs with equal contexts are all repeated.
-3. What is left are runs at the edges of repeats. One run per distinct context sends the 200-byte identifiers of its
-   windows, and those in a bucket with another member are repeated.
+3. What is left are runs at the edges of repeats. One run per distinct context sends the bytes its windows cover to the
+   task of its bucket, which refines all places there to the full depth; windows in a bucket with another member are
+   repeated. A bucket of more than GROUP contexts is dealt out further by the identifiers of its windows.
 
-A bucket is always met as (64-byte identifier, deeper identifier), 128 bits together. All counts combine before they
-are shuffled; joins are plain equi-joins, which Spark splits where a key is hot; nothing is collected.
+A bucket is always met as (32-byte identifier, deeper identifier), 128 bits together. All counts combine before they
+are shuffled; joins are plain equi-joins, which Spark splits where a key is hot; nothing is collected. Where texts have
+to travel, they do so compressed.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,10 @@ from fieldhouse.llm.kernels import U, flat, mix
 
 DEPTH = 200
 """Bytes of a string whose repeats are removed."""
-GRAM = 64
+GRAM = 32
 """Depth of the buckets whose smallest member anchors a window; places the anchor can take: DEPTH - GRAM + 1."""
+GROUP = 8192
+"""Contexts of a bucket that one task refines together; there are as many parts of a larger bucket as this goes into it."""
 CHUNK = 1 << 19
 """Bytes that are worked on at once; a longer text is cut into pieces whose windows do not overlap."""
 PLACE_BITS = 20
@@ -131,51 +136,137 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate([[0], np.cumsum(count)]).astype(np.int64), column.flatten()
 
 
-def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Identifiers at full depth of the windows of the listed runs."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows with their text compressed."""
+    press = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        data, offsets = flat(b.column("text"))
+        at = b.schema.get_field_index("text")
+        texts = b.column(at).cast(pa.binary()).to_pylist()
+        yield b.set_column(at, pa.field("text", pa.binary()), pa.array([None if t is None else press.compress(t) for t in texts], pa.binary()))
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    open_ = zstandard.ZstdDecompressor()
+    return pa.array([None if t is None else open_.decompress(t) for t in column.to_pylist()], pa.binary())
+
+
+def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, k1, k2, lo, alone, piece): the bytes that the windows of a listed run cover.
+
+    In a bucket of several parts a run has a row for each part that some of its windows belong to, with these windows'
+    identifiers and places for a piece.
+    """
+    names = ["bucket", "k1", "k2", "lo", "alone", "split", "piece"]
+    for b in batches:
+        data, offsets = flat(_unpacked(b.column("text")))
         k1, k2 = (b.column(n).to_numpy(zero_copy_only=False) for n in ("k1", "k2"))
         ends, todo = _lists(b.column("todo"))
-        run, gram, alone = (todo.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        run, gram, alone, parts = (todo.field(i).to_numpy(zero_copy_only=False) for i in range(4))
         row = np.repeat(np.arange(len(k1)), np.diff(ends))
         lo, n = run >> 8, run & 255
-        step = max(1, CHUNK // (2 * DEPTH))
-        for s in range(0, len(run), step):
-            own = slice(s, s + step)
-            size = n[own] + DEPTH - 1
-            begin = np.cumsum(size) - size
-            source = np.arange(int(size.sum())) + np.repeat(offsets[row[own]] + lo[own] - begin, size)
-            _, full = identifiers(data[source])
-            of = np.repeat(np.arange(len(size)), n[own])
-            within = np.arange(len(of)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
-            ids = full[begin[of] + within]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k1[row[own]][of]), pa.array(k2[row[own]][of]), pa.array(lo[own][of] + within), pa.array(gram[own][of]),
-                 pa.array(ids.view(np.int64)), pa.array(alone[own][of])], ["k1", "k2", "at", "gram", "full", "alone"])
+        size = n + DEPTH - 1
+        cut = np.concatenate([[0], np.cumsum(size)])
+        source = np.arange(int(cut[-1])) + np.repeat(offsets[row] + lo - cut[:-1], size)
+        piece = data[source]
+        one = np.flatnonzero(parts == 1)
+        raw = piece.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram[one]), pa.array(k1[row[one]]), pa.array(k2[row[one]]), pa.array(lo[one]), pa.array(alone[one]),
+             pa.array(np.zeros(len(one), bool)), pa.array([raw[cut[i]:cut[i + 1]] for i in one], pa.binary())], names)
+        out: list[list] = [[], [], [], [], [], [], []]
+        for i in np.flatnonzero(parts > 1):
+            _, full = identifiers(piece[cut[i]:cut[i + 1]])
+            part = full % U(parts[i])
+            for t in np.unique(part):
+                at = np.flatnonzero(part == t)
+                bucket = mix(np.array([gram[i]]).view(U) + t).view(np.int64)[0]
+                for column, v in zip(out, (bucket, k1[row[i]], k2[row[i]], lo[i], alone[i], True, full[at].tobytes() + at.astype(U).tobytes())):
+                    column.append(v)
+        if out[0]:
+            kinds = [pa.int64()] * 4 + [pa.bool_()] * 2 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+
+def _refined(slices: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(identifier, slice, place in it) of the windows that some slices stand for."""
+    split = slices.column("split").to_numpy(zero_copy_only=False)
+    data, offsets = flat(slices.column("piece"))
+    found = []
+    for kind in (False, True):
+        own = np.flatnonzero(split == kind)
+        if not len(own):
+            continue
+        size = offsets[own + 1] - offsets[own]
+        begin = np.cumsum(size) - size
+        part = data if len(own) == len(split) else data[np.arange(int(size.sum())) + np.repeat(offsets[own] - begin, size)]
+        n = size // 16 if kind else size - DEPTH + 1
+        of = np.repeat(np.arange(len(own)), n)
+        within = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        if kind:
+            both = part.copy().view(U)
+            at = begin[of] // 8 + within
+            found.append((both[at], own[of], both[at + n[of]].astype(np.int64)))
+        else:
+            found.append((identifiers(part)[1][begin[of] + within], own[of], within))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _met(slices: pa.RecordBatch) -> pa.RecordBatch:
+    """Runs of windows that are in another slice of their bucket too; all slices of a bucket are here."""
+    full, of, within = _refined(slices)
+    bucket = slices.column("bucket").to_numpy(zero_copy_only=False).view(U)
+    _, inverse, count = np.unique(mix(full ^ mix(bucket.copy())[of]), return_inverse=True, return_counts=True)
+    alone = slices.column("alone").to_numpy(zero_copy_only=False)
+    hit = np.flatnonzero((count[inverse] > 1) & alone[of])
+    fresh = np.ones(len(hit), bool)
+    fresh[1:] = (of[hit[1:]] != of[hit[:-1]]) | (within[hit[1:]] != within[hit[:-1]] + 1)
+    first = np.flatnonzero(fresh)
+    n = np.diff(np.append(first, len(hit)))
+    row = of[hit[first]]
+    lo = slices.column("lo").to_numpy(zero_copy_only=False)[row] + within[hit[first]]
+    return pa.RecordBatch.from_arrays(
+        [slices.column(c).take(pa.array(row)) for c in ("k1", "k2")] + [pa.array((lo << 8) | n)], ["k1", "k2", "run"])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`_met` over batches whose rows are sorted by bucket; a bucket that goes on in the next batch waits for it."""
+    waiting: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        bucket = b.column("bucket").to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(bucket, bucket[-1]))
+        if waiting and (cut or waiting[0].column("bucket")[0].as_py() != bucket[0]):
+            yield from map(_met, pa.Table.from_batches([*waiting, b.slice(0, cut)]).combine_chunks().to_batches())
+            waiting = []
+        elif cut:
+            yield _met(b.slice(0, cut))
+        waiting.append(b.slice(cut))
+    if waiting:
+        yield from map(_met, pa.Table.from_batches(waiting).combine_chunks().to_batches())
 
 
 def repeated_windows(keyed: DataFrame) -> DataFrame:
-    """(k1, k2, run): runs of windows, `first byte << 8 | windows`, each of whose windows occurs elsewhere too."""
+    """(k1, k2, runs): runs of windows, `first byte << 8 | windows`, each of whose windows occurs elsewhere too."""
+    texts = keyed.select("k1", "k2", "text").where(F.octet_length("text") >= DEPTH)
     longs = "k1 long, k2 long, run long, gram long, context long"
-    every = saved(keyed.select("k1", "k2", "text").where(F.octet_length("text") >= DEPTH).mapInArrow(_runs_of, longs), "suffix-runs")
-    common = every.groupBy("gram").agg(F.count("*").alias("_n")).where("_n > 1").select("gram")
+    every = saved(texts.mapInArrow(_runs_of, longs), "suffix-runs")
+    # the small sides of joins are written first: Spark splits a hot key only between two plain shuffles
+    common = saved(every.groupBy("gram").agg(F.count("*").alias("_n")).where("_n > 1").select("gram"), "suffix-common")
     shared = saved(every.join(common, "gram"), "suffix-shared")
     discard(every)
     classes = saved(shared.groupBy("gram", "context").agg(
         F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("k1", "k2", "run")]), "suffix-classes")
-    mixed = classes.groupBy("gram").agg(F.count("*").alias("_n")).where("_n > 1").select("gram")
+    split = saved(classes.groupBy("gram").agg(F.count("*").alias("_n")).where("_n > 1").select(
+        "gram", F.ceil(F.col("_n") / GROUP).alias("parts")), "suffix-split")
     whole = shared.join(classes.where("members > 1").select("gram", "context"), ["gram", "context"]).select("k1", "k2", "run")
-    todo = classes.join(mixed, "gram").groupBy("k1", "k2").agg(F.collect_list(
-        F.struct("run", "gram", (F.col("members") == 1).alias("alone"))).alias("todo"))
-    windows = keyed.select("k1", "k2", "text").where(F.octet_length("text") >= DEPTH).join(todo, ["k1", "k2"]).mapInArrow(
-        _windows_of, "k1 long, k2 long, at long, gram long, full long, alone boolean")
-    windows = saved(windows, "suffix-windows")
-    place = F.xxhash64("k1", "k2", "at")  # equal rows send the same place twice, which is no repeat
-    twice = windows.groupBy("gram", "full").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b").select("gram", "full")
-    edges = windows.where("alone").join(twice, ["gram", "full"]).select("k1", "k2", F.expr("at << 8 | 1L").alias("run"))
-    found = saved(whole.unionAll(edges).groupBy("k1", "k2").agg(F.sort_array(F.collect_set("run")).alias("runs")), "suffix-found")
-    for t in (shared, classes, windows):
+    todo = classes.join(split, "gram").groupBy("k1", "k2").agg(F.collect_list(
+        F.struct("run", "gram", (F.col("members") == 1).alias("alone"), "parts")).alias("todo"))
+    slices = texts.mapInArrow(_packed, "k1 long, k2 long, text binary").join(todo, ["k1", "k2"]).select("k1", "k2", "text", "todo").mapInArrow(
+        _slices_of, "bucket long, k1 long, k2 long, lo long, alone boolean, split boolean, piece binary")
+    edges = slices.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket, "k1 long, k2 long, run long")
+    found = saved(whole.unionAll(edges).groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "suffix-found")
+    for t in (common, shared, classes, split):
         discard(t)
     return found
 
@@ -198,7 +289,7 @@ def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        data, offsets = flat(b.column("text"))
+        data, offsets = flat(_unpacked(b.column("text")))
         ends, found = _lists(b.column("runs"))
         found = found.to_numpy(zero_copy_only=False).astype(np.int64)
         known = b.column("text").is_valid().to_numpy(zero_copy_only=False)
@@ -236,7 +327,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     keyed = docs.select(*row_key(docs), "text", F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("row"))
     found = repeated_windows(keyed)
-    rows = keyed.join(found, ["k1", "k2"], "left").select("text", "row", "runs")
-    kind = rows.schema["row"].dataType.simpleString()
+    kind = keyed.schema["row"].dataType.simpleString()
+    packed = keyed.mapInArrow(_packed, f"k1 long, k2 long, text binary, row {kind}")
+    rows = packed.join(found, ["k1", "k2"], "left").select("text", "row", "runs")
     return rows.mapInArrow(
         _cleaned, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")

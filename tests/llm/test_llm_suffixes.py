@@ -54,8 +54,9 @@ def test_planted_repeats(spark):
     assert rows[12]["kept_text"] is None and rows[11]["kept_text"] == ""
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_random_small_alphabets(spark, seed):
+@pytest.mark.parametrize("seed,group", [(0, 512), (1, 2), (2, 1), (3, 3)])
+def test_random_small_alphabets(spark, monkeypatch, seed, group):
+    monkeypatch.setattr(suffixes, "GROUP", group)
     rng = random.Random(seed)
     texts = ["".join(rng.choice("abé") * rng.choice([1, 1, 90, 150]) for _ in range(rng.randrange(1, 25))) for _ in range(25)]
     texts += [rng.choice(texts)[rng.randrange(40):] + "q" for _ in range(10)]
@@ -94,7 +95,7 @@ def test_whole_table(spark, data):
 def test_identifiers_and_minimum():
     data = np.frombuffer((b"abcdefgh" * 60)[:400] + b"z", np.uint8)
     grams, full = identifiers(data)
-    assert len(grams) == 401 - 63 and len(full) == 401 - 199
+    assert len(grams) == 401 - suffixes.GRAM + 1 and len(full) == 401 - 199
     assert full[0] == full[8] and full[0] != full[1] and len(set(full[:200].tolist())) == 8
     v = np.random.default_rng(0).integers(0, 1000, 500)
     assert smallest(v, 137).tolist() == [v[i:i + 137].min() for i in range(500 - 136)]
