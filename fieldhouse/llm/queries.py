@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, packing, rules, suffixes, toxicity
+from fieldhouse.llm import hilbert, merges, minhash, packing, rules, secrets, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,9 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @query("op7_linear_grouping_packing")
 def op7(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_randomness_secrets")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.reported(secrets.with_secrets(table(spark, d, "documents"))).select(
+        "row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
