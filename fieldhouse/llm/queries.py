@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, packing, rules, secrets, suffixes, toxicity
+from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, rules, secrets, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,8 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return secrets.reported(secrets.with_secrets(table(spark, d, "documents"))).select(
         "row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query("op10_cross_polytope_neighbours")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
