@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, rules, secrets, suffixes, toxicity
+from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,9 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_cross_polytope_neighbours")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op9_recurrent_block_labels")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return pages.extracted(table(spark, d, "pages")).select(
+        "row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
