@@ -83,7 +83,8 @@ def classification_metrics(pairs: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, actual: str = "actual", pred: str = "predicted", limits: Limits | None = None) -> DataFrame:
-    """R², MSE, RMSE, MAE, median absolute error, and MAPE over non-zero actuals: one row."""
+    """R², MSE, RMSE, MAE, median absolute error, and MAPE over non-zero actuals: one row, over rows with both values."""
+    df = df.where(F.col(actual).isNotNull() & F.col(pred).isNotNull())
     y, e = F.col(actual), F.col(actual) - F.col(pred)
     mse = F.avg(e * e)
     sums = df.agg(

@@ -35,7 +35,8 @@ log AS (SELECT *, max(cum_units) OVER (ORDER BY gameDate, gameId ROWS UNBOUNDED
 
 
 def _r(e: str, n: int) -> str:
-    return f"round(round({e}, 10), {n})"
+    """Rounded as a decimal, half up, which doubles on a tie are not."""
+    return f"round(TRY_CAST({e} AS DECIMAL(28, 10)), {n})::DOUBLE"
 
 
 def _summary_sql(drawdown: str) -> str:

@@ -86,7 +86,7 @@ def _regression(spark, d):
     return games(spark, d).select("gameId", F.col("homeRuns").alias("actual"), F.col("awayRuns").alias("predicted"))
 
 
-_REG = f"{GAMES_CTE}, r AS (SELECT gameId, homeRuns AS actual, awayRuns AS predicted, homeRuns - awayRuns AS e FROM games)"
+_REG = f"{GAMES_CTE}, r AS (SELECT gameId, homeRuns AS actual, awayRuns AS predicted, homeRuns - awayRuns AS e FROM games WHERE homeRuns IS NOT NULL AND awayRuns IS NOT NULL)"
 
 
 @query("regression_metrics", f"""

@@ -10,7 +10,7 @@ from fieldhouse.operators.profile import repeated_keys
 from fieldhouse.operators.sizing import Limits
 from fieldhouse.sources.files import pitch_scan, season_scan
 from fieldhouse.workload.registry import query
-from fieldhouse.workload.views import GAMES_CTE, games, table
+from fieldhouse.workload.views import GAMES_CTE, games, sides, table
 
 _THEN, _NOW = "2020-01-01 00:00:00", "2024-06-01 00:00:00"
 
@@ -119,3 +119,12 @@ WITH {GAMES_CTE} SELECT gameId, season FROM games WHERE season = 1996 UNION ALL
 def bag_union(spark, d):
     g = games(spark, d).select("gameId", "season")
     return season_scan(g, [1996]).unionByName(season_scan(g, [1996, 1997]))
+
+
+@query("game_lines", """SELECT (SELECT count(*) FROM lineitem) AS lines_in, CAST(sum(n) AS BIGINT) AS lines_used, count(*) AS orders
+FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""")
+def game_lines(spark, d):
+    """Lines that enter the game view, beside all there are."""
+    every = table(spark, d, "lineitem").agg(F.count("*").alias("n")).scalar()
+    return sides(spark, d).agg(F.sum(F.col("homeLines") + F.col("awayLines")).alias("lines_used"), F.count("*").alias("orders")).select(
+        every.alias("lines_in"), "lines_used", "orders")

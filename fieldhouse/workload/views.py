@@ -1,37 +1,37 @@
 """Game views derived from the order tables, and the same views as SQL for the oracle.
 
-An order with at least two lines is a game: line 1 is the home side and line 2 the away side.
+Every order is a game: its lines of odd number are the home side and those of even number the away side. All lines count,
+and an order with lines of one kind only has NULL figures on the other side, whose team is -1.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
-_SIDE_COLUMNS = {
-    "TeamId": "l_suppkey", "StartingPitcherId": "l_partkey", "Runs": "l_quantity", "Hits": "l_extendedprice",
-    "OBP": "l_discount", "ERA": "l_tax",
-}
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
 def _sides(spark: SparkSession, d: str) -> DataFrame:
-    """One row per order: the first two lines side by side.
+    """One row per order with both sides' figures, from one aggregation of all lines (combined before the shuffle).
 
-    The rank filter prunes every order to two lines on the map side; the pivot reuses the window's partitioning.
+    A side's team and pitcher are its smallest supplier and part, -1 on a side without lines; where both sides have one
+    supplier, the away side is that supplier's second team, under the number -2 - supplier. Sums and means are rounded, so that
+    their order cannot show.
     """
-    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    first_two = (
-        table(spark, d, "lineitem").select("l_orderkey", "l_tax", "l_discount", *LINE_ORDER)
-        .withColumn("rn", F.row_number().over(w)).where("rn <= 2"))
-    pick = [
-        F.max(F.when(F.col("rn") == i, F.col(src))).alias(f"{side}{name}")
-        for i, side in ((1, "home"), (2, "away")) for name, src in _SIDE_COLUMNS.items()]
-    return first_two.groupBy(F.col("l_orderkey").alias("gameId")).agg(*pick).where("homeTeamId <> awayTeamId")
+    cols = []
+    for odd, side in ((1, "home"), (0, "away")):
+        own = lambda c, odd=odd: F.when(F.col("l_linenumber") % 2 == odd, F.col(c))
+        cols += [
+            F.coalesce(F.min(own("l_suppkey")), F.lit(-1)).alias(f"{side}TeamId"),
+            F.coalesce(F.min(own("l_partkey")), F.lit(-1)).alias(f"{side}StartingPitcherId"),
+            F.sum(own("l_quantity")).alias(f"{side}Runs"), F.round(F.sum(own("l_extendedprice")), 2).alias(f"{side}Hits"),
+            F.round(F.avg(own("l_discount")), 6).alias(f"{side}OBP"), F.round(F.avg(own("l_tax")), 6).alias(f"{side}ERA"),
+            F.count(own("l_linenumber")).alias(f"{side}Lines")]
+    sides = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("gameId")).agg(*cols)
+    away = F.col("awayTeamId")
+    return sides.withColumn("awayTeamId", F.when(away == F.col("homeTeamId"), -2 - away).otherwise(away))
 
 
 def games(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +49,7 @@ def games(spark: SparkSession, d: str) -> DataFrame:
         F.when(no_odds, 0).otherwise(F.when(even, down).otherwise(up)).cast("int").alias("awayMoneyline"),
         F.round((o * 37 % 1000).cast("double") / 1000, 3).alias("proba"),
     )
-    g = orders.join(_sides(spark, d), "gameId")
+    g = orders.join(_sides(spark, d).drop("homeLines", "awayLines"), "gameId")
     gone = F.col("gameId") % 13 == 0
     return g.withColumns({
         "homeERA": F.when(~gone, F.col("homeERA")),
@@ -59,18 +59,24 @@ def games(spark: SparkSession, d: str) -> DataFrame:
     })
 
 
-GAMES_CTE = """
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
-                               l_extendedprice, l_quantity) AS rn FROM lineitem),
+_SIDE_SQL = """coalesce(min(l_suppkey) FILTER (WHERE l_linenumber % 2 = {odd}), -1) AS {s}_team,
+    coalesce(min(l_partkey) FILTER (WHERE l_linenumber % 2 = {odd}), -1) AS {s}_part,
+    sum(l_quantity) FILTER (WHERE l_linenumber % 2 = {odd}) AS {s}_quantity, round(sum(l_extendedprice) FILTER (WHERE l_linenumber % 2 = {odd}), 2) AS {s}_price,
+    round(avg(l_discount) FILTER (WHERE l_linenumber % 2 = {odd}), 6) AS {s}_discount, round(avg(l_tax) FILTER (WHERE l_linenumber % 2 = {odd}), 6) AS {s}_tax,
+    count(*) FILTER (WHERE l_linenumber % 2 = {odd}) AS {s}_lines"""
+
+GAMES_CTE = f"""
+sides AS (
+  SELECT l_orderkey, {_SIDE_SQL.format(odd=1, s="h")},
+    {_SIDE_SQL.format(odd=0, s="a")} FROM lineitem GROUP BY 1),
 games AS (
   SELECT o_orderkey AS gameId, year(o_orderdate)::INTEGER AS season, o_orderdate AS gameDate,
-    h.l_suppkey AS homeTeamId, a.l_suppkey AS awayTeamId,
-    h.l_partkey AS homeStartingPitcherId, a.l_partkey AS awayStartingPitcherId,
-    h.l_quantity AS homeRuns, a.l_quantity AS awayRuns, h.l_extendedprice AS homeHits, a.l_extendedprice AS awayHits,
-    h.l_discount AS homeOBP, a.l_discount AS awayOBP,
-    CASE WHEN o_orderkey % 13 <> 0 THEN h.l_tax END AS homeERA, CASE WHEN o_orderkey % 13 <> 0 THEN a.l_tax END AS awayERA,
-    h.l_quantity + 50 AS homeSP_MaxVelo, a.l_quantity + 50 AS awaySP_MaxVelo,
+    h_team AS homeTeamId, CASE WHEN a_team = h_team THEN -2 - a_team ELSE a_team END AS awayTeamId,
+    h_part AS homeStartingPitcherId, a_part AS awayStartingPitcherId,
+    h_quantity AS homeRuns, a_quantity AS awayRuns, h_price AS homeHits, a_price AS awayHits,
+    h_discount AS homeOBP, a_discount AS awayOBP,
+    CASE WHEN o_orderkey % 13 <> 0 THEN h_tax END AS homeERA, CASE WHEN o_orderkey % 13 <> 0 THEN a_tax END AS awayERA,
+    h_quantity + 50 AS homeSP_MaxVelo, a_quantity + 50 AS awaySP_MaxVelo,
     CASE WHEN o_orderkey % 17 <> 0 THEN (o_orderkey % 21 - 10)::DOUBLE / 2.0::DOUBLE END AS homeSpread,
     CASE WHEN o_orderkey % 19 <> 0 THEN (40 + o_orderkey % 23)::INTEGER END AS overUnder,
     CASE WHEN o_orderkey % 97 = 0 THEN 0 WHEN o_custkey % 2 = 0 THEN 100 + o_custkey % 150
@@ -78,10 +84,7 @@ games AS (
     CASE WHEN o_orderkey % 97 = 0 THEN 0 WHEN o_custkey % 2 = 0 THEN -(105 + o_custkey % 150)
          ELSE 100 + o_custkey % 150 END::INTEGER AS awayMoneyline,
     round((o_orderkey * 37 % 1000)::DOUBLE / 1000, 3) AS proba
-  FROM orders
-  JOIN (SELECT * FROM ranked WHERE rn = 1) h ON h.l_orderkey = o_orderkey
-  JOIN (SELECT * FROM ranked WHERE rn = 2) a ON a.l_orderkey = o_orderkey
-  WHERE h.l_suppkey <> a.l_suppkey)"""
+  FROM orders JOIN sides ON l_orderkey = o_orderkey)"""
 
 SCORED_CTE = GAMES_CTE + """,
 scored AS (
@@ -123,3 +126,8 @@ hoops AS (
     homeOBP AS homeOrbPct, awayOBP AS awayOrbPct, homeHits AS homePointsOffTO, awayHits AS awayPointsOffTO,
     homeERA AS homeRating, awayERA AS awayRating, gameId % 5 < 2 AS conferenceGame, gameId % 7 = 0 AS neutralSite, proba
   FROM games)"""
+
+
+def sides(spark: SparkSession, d: str) -> DataFrame:
+    """The sides of all orders, with the number of lines that went into each."""
+    return _sides(spark, d)
