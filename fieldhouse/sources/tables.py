@@ -1,10 +1,17 @@
-"""Keyed Parquet tables under one root folder: append, upsert, insert-only copy, counts."""
+"""Keyed Parquet tables under one root folder: append, upsert, insert-only copy, counts.
+
+An upsert is committed by one small file. The merged rows of the touched partitions are staged first, then a journal
+entry names them and the partitions that hold no row any more; from then on the change is made, and made again by
+whoever opens the table next if it was cut short. Applying an entry twice gives the same table.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +47,41 @@ class TableStore:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def exists(self, spec: TableSpec) -> bool:
+        self._recover(spec)
         fs, p = self._fs(self.path(spec))
         return fs.exists(p)
 
+    def _journal(self, spec: TableSpec) -> str:
+        return f"{self.root}/_journal/{spec.name}.json"
+
+    def _commit(self, spec: TableSpec, staged: str, emptied: list[str]) -> None:
+        """Write the journal entry under another name and rename it, which is one step."""
+        fs, final = self._fs(self._journal(spec))
+        _, draft = self._fs(f"{self._journal(spec)}.{uuid.uuid4().hex}")
+        out = fs.create(draft, True)
+        try:
+            out.write(bytearray(json.dumps({"staged": staged, "emptied": emptied}), "utf-8"))
+        finally:
+            out.close()
+        if not fs.rename(draft, final):
+            raise RuntimeError(f"{spec.name}: another upsert is being committed")
+
+    def _recover(self, spec: TableSpec) -> None:
+        """Apply a committed change that was cut short."""
+        fs, entry = self._fs(self._journal(spec))
+        if fs.exists(entry):
+            self._apply(spec)
+
+    def _apply(self, spec: TableSpec) -> None:
+        """Bring the table to what the journal entry says, then remove the entry and the staged rows."""
+        entry = json.loads(self.spark.read.text(self._journal(spec), wholetext=True).first()[0])
+        rows = self.spark.read.parquet(entry["staged"]).drop(ACTION)
+        self._write(rows, self.path(spec), spec, "overwrite")
+        for folder in entry["emptied"]:
+            self._drop(folder)
+        self._drop(self._journal(spec))
+        self._drop(entry["staged"])
+
     def read(self, spec: TableSpec) -> DataFrame:
         """The table, or an empty frame of its schema before the first load."""
         if self.exists(spec):
@@ -79,8 +118,8 @@ class TableStore:
         """Merge `df` into the table by key and report what changed.
 
         The source is written once to a staging folder, so every later step sees the same rows. Only partitions
-        that hold a source row, or a target row about to change, are read and rewritten. The merged rows are
-        staged before the table is overwritten; if the overwrite is cut short they are the copy to restore from.
+        that hold a source row, or a target row about to change, are read and rewritten; a partition that loses its
+        last row goes. See the head of this file for what happens when an upsert is cut short.
         """
         limits = Limits.of(self.spark)
         source, stage = self._staged(conform(df, spec.schema, extra=spec.open_columns))
@@ -92,6 +131,7 @@ class TableStore:
             target = with_missing(target, {f.name: f.dataType.simpleString() for f in source.schema.fields})
             if spec.partition_by:
                 target = self._touched(target, source, spec, small)
+            held = target
             merged = merge_rows(target, source, spec.keys, F.current_timestamp(), small)
             if dry_run:
                 n = self._actions(merged)
@@ -99,8 +139,9 @@ class TableStore:
                 rows, merged_path = self._staged(merged)
                 n = self._actions(rows)
                 if n.get("insert") or n.get("update"):
-                    self._write(rows.drop(ACTION), self.path(spec), spec, "overwrite")
-                if drop_stage:
+                    self._commit(spec, merged_path, self._emptied(held, rows, spec))
+                    self._apply(spec)
+                elif drop_stage:
                     self._drop(merged_path)
             return LoadResult(spec.name, n.get("insert", 0), n.get("update", 0), n.get("same", 0), dry_run)
         finally:
@@ -117,14 +158,27 @@ class TableStore:
         keys = source.select(*spec.keys)
         held = target.select(*dict.fromkeys([*spec.keys, *parts])).join(
             F.broadcast(keys) if small else keys, list(spec.keys), "left_semi")
-        wanted = source.select(*parts).union(held.select(*parts)).distinct().collect()  # one row per partition
-        test = F.lit(False)
-        for row in wanted:
-            one = F.lit(True)
-            for p in parts:
-                one = one & F.col(p).eqNullSafe(F.lit(row[p]))
-            test = test | one
-        return target.where(test)
+        wanted = source.select(*parts).union(held.select(*parts)).distinct()
+        rows = wanted.collect()  # one row per partition: values that prune the scan
+        for p in parts:
+            known = [r[p] for r in rows if r[p] is not None]
+            test = F.col(p).isin(known)
+            target = target.where(test | F.col(p).isNull() if any(r[p] is None for r in rows) else test)
+        if len(parts) == 1:
+            return target
+        exact = self.spark.createDataFrame(rows, wanted.schema).select([F.col(p).alias(f"_w_{p}") for p in parts])
+        return target.join(F.broadcast(exact), reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_w_{p}")) for p in parts]), "left_semi")
+
+    def _emptied(self, held: DataFrame, rows: DataFrame, spec: TableSpec) -> list[str]:
+        """Folders of the read partitions that no merged row belongs to."""
+        if not spec.partition_by or not self.exists(spec):
+            return []
+        parts = list(spec.partition_by)
+        folder = F.url_decode(F.replace(F.regexp_replace(F.input_file_name(), "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))  # names come as URIs
+        folders = held.select(*[F.col(p).alias(f"_h_{p}") for p in parts], folder.alias("folder")).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(f"_h_{p}").eqNullSafe(F.col(p)) for p in parts])
+        gone = folders.join(rows.select(*parts).distinct(), same, "left_anti")
+        return [r["folder"] for r in gone.select("folder").distinct().collect()]  # at most the touched partitions
 
     def copy_new(self, df: DataFrame, spec: TableSpec) -> int:
         """Append the rows whose key is not there yet; returns how many."""

@@ -34,6 +34,37 @@ def store(spark, tmp_path):
     return TableStore(spark, str(tmp_path / "tables"))
 
 
+def test_upsert_removes_emptied_partitions(spark, store):
+    store.upsert(frame(spark, [("m", "2023", 1, "x"), ("k", "2022", 1, "x"), ("n", None, 1, "x")]), SPEC)
+    store.upsert(frame(spark, [("m", "2024", 2, "x"), ("n", "20/25 é", 1, "x")]), SPEC)
+    assert sorted((r["id"], r["season"], r["a"]) for r in store.read(SPEC).collect()) == [("k", "2022", 1), ("m", "2024", 2), ("n", "20/25 é", 1)]
+    store.upsert(frame(spark, [("n", "2022", 1, "x")]), SPEC)
+    assert sorted((r["id"], r["season"]) for r in store.read(SPEC).collect()) == [("k", "2022"), ("m", "2024"), ("n", "2022")]
+    assert not [f for f in os.listdir(store.path(SPEC)) if f.startswith("season=20%2F") or "HIVE_DEFAULT" in f]
+
+
+@pytest.mark.parametrize("spec", [SPEC, FLAT])
+@pytest.mark.parametrize("cut", ["_write", "_drop"])
+def test_upsert_cut_short_after_its_commit_is_finished_on_open(spark, store, monkeypatch, spec, cut):
+    names = [f.name for f in spec.schema.fields]
+    rows = lambda v, s: frame(spark, [("m", s, v, "x"), ("k", "2022", 1, "x")]).select(*names)
+    store.upsert(rows(1, "2023"), spec)
+    whole = getattr(TableStore, cut)
+
+    def fail(self, first, *rest):
+        if cut == "_drop" and "_staging" in first:
+            return whole(self, first, *rest)
+        raise OSError("cut short")
+
+    monkeypatch.setattr(TableStore, cut, fail)
+    with pytest.raises(OSError):
+        store.upsert(rows(2, "2024"), spec)
+    monkeypatch.undo()
+    again = TableStore(spark, store.root)
+    assert sorted((r["id"], r["a"]) for r in again.read(spec).collect()) == [("k", 1), ("m", 2)]
+    assert os.listdir(f"{store.root}/_journal") in ([], [f for f in os.listdir(f"{store.root}/_journal") if f.endswith(".crc")])
+
+
 @pytest.mark.parametrize("broadcast_rows", [500_000, 0])
 def test_upsert_cases(spark, store, broadcast_rows):
     spark.conf.set("fieldhouse.broadcast_rows", str(broadcast_rows))
