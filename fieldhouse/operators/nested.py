@@ -188,7 +188,7 @@ def odds_lines(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("dat
     """One row per game and sportsbook of each page: names, start, and the current line as a struct.
 
     Games come from the table model, or from the table itself on pages of the older layout. Games without both
-    team names and views without a current line are skipped.
+    team names and views without a current line, or with an empty one, are skipped.
     """
     doc = F.from_json(F.regexp_extract(html, PAGE_DATA, 1), ODDS_PAGE_JSON)
     first = F.try_element_at(F.col("doc.props.pageProps.oddsTables"), F.lit(1))
@@ -197,7 +197,8 @@ def odds_lines(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("dat
     games = F.when(F.size(newer) > 0, newer).otherwise(F.col("t.gameRows"))
     rows = tables.select(*keep, F.explode(games).alias("g"))
     named = rows.where("g.gameView.awayTeam.name <> '' AND g.gameView.homeTeam.name <> ''")
-    views = named.select(*keep, "g.gameView", F.explode("g.oddsViews").alias("v")).where("v.currentLine IS NOT NULL")
+    views = named.select(*keep, "g.gameView", F.explode("g.oddsViews").alias("v"))
+    views = views.where(_any_value(views, "v.currentLine", views.schema["v"].dataType["currentLine"].dataType))
     return views.select(
         *keep, F.col("gameView.gameId").alias("game_id"), F.col("gameView.startDate").alias("game_time"),
         F.col("gameView.awayTeam.name").alias("away_team"), F.col("gameView.homeTeam.name").alias("home_team"),

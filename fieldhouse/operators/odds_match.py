@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.operators.cleaning import is_completed
-from fieldhouse.operators.sizing import lookup
+from fieldhouse.operators.sizing import beside, lookup
 
 
 def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
     """(`short`, `full`) pairs where the full name contains the short one.
 
-    Each distinct full name is cut into its pieces, and the pieces meet the short names on equality, so names are
-    never compared pair by pair.
+    Each distinct full name is cut into its pieces of the lengths that short names have, and the pieces meet the short
+    names on equality, so names are never compared pair by pair.
     """
+    short = short.distinct().where(F.length("short") > 0)
+    lengths = short.agg(F.collect_set(F.length("short")).alias("_lengths"))  # no more than the longest name has letters
     size = F.length("full")
-    starts = F.sequence(F.lit(1), size)
-    pieces = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col("full"), i, n))))
-    cut = full.distinct().where(size > 0).select("full", F.explode(F.array_distinct(pieces)).alias("short"))
-    return cut.join(short.distinct(), "short")
+    pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= size), lambda n: F.transform(
+        F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("full"), i, n))))
+    cut = beside(full.distinct().where(size > 0), lengths).select("full", F.explode(F.array_distinct(pieces)).alias("short"))
+    return cut.join(short, "short")
 
 
 def match_odds(games: DataFrame, odds: DataFrame) -> DataFrame:

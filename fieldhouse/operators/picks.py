@@ -49,10 +49,13 @@ def check_picks(picks: DataFrame, sides: Sequence[str] = SPREAD_SIDES) -> DataFr
 
 
 def display_table(picks: DataFrame) -> DataFrame:
-    """The picks as text columns, best edge first."""
+    """The picks as text columns, best edge first; a value that is missing is NULL, not a word for it."""
+    def text(form: str, value: Column, column: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.format_string(form, value))
+
     return picks.orderBy(F.col("edge").desc(), "gameId").select(
         F.col("pickSide").alias("Pick"), F.col("homeTeam").alias("Home"), F.col("awayTeam").alias("Away"),
-        F.format_string("%+.1f", "homeSpread").alias("Spread"),
-        F.format_string("%.1f%%", F.col("predProb") * 100).alias("Prob"),
-        F.format_string("%.2f%%", F.col("edge") * 100).alias("Edge"),
+        text("%+.1f", F.col("homeSpread"), "homeSpread").alias("Spread"),
+        text("%.1f%%", F.col("predProb") * 100, "predProb").alias("Prob"),
+        text("%.2f%%", F.col("edge") * 100, "edge").alias("Edge"),
         F.date_format("startDate", "MM/dd hh:mm a").alias("Time"), F.col("venue").alias("Venue"))

@@ -1,6 +1,6 @@
 """Training, scoring and comparing Spark ML models on feature tables.
 
-Every model is a chain of Spark ML stages (assemble, standardise, estimate), fitted and applied by Spark. Rows keep their
+Every model is a chain of Spark ML stages (fill, assemble, standardise, estimate), fitted and applied by Spark. Rows keep their
 key through scoring, so predictions never have to be matched back by position.
 """
 
@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
@@ -82,14 +82,17 @@ def estimator(kind: str, problem: str, features: int, classes: int = 2, seed: in
 
 
 def chain(features: Sequence[str], final: Estimator) -> Pipeline:
+    """Missing features take the training mean, so that every row is fitted and scored."""
+    filled = [f"_filled_{f}" for f in features]
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="skip"),
+        Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
+        VectorAssembler(inputCols=filled, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         final])
 
 
 def score(model: PipelineModel, df: DataFrame, classify: bool = True) -> DataFrame:
-    """Rows with `predProb` and `predClass`, or with `prediction`; rows with a missing feature are not scored."""
+    """Rows with `predProb` and `predClass`, or with `prediction`; a missing feature counts as its training mean."""
     keep = [F.col(c) for c in df.columns]
     out = model.transform(df)
     if not classify:

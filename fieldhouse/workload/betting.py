@@ -225,8 +225,8 @@ def total_picks(spark, d):
 
 @query("picks_table", f"""
 WITH p AS ({_picks_sql("homeSpread", "HOME", "AWAY")})
-SELECT pickSide AS "Pick", homeTeam AS "Home", awayTeam AS "Away", printf('%+.1f', homeSpread) AS "Spread",
+SELECT pickSide AS "Pick", homeTeam AS "Home", awayTeam AS "Away", CASE WHEN homeSpread IS NOT NULL THEN printf('%+.1f', homeSpread) END AS "Spread",
   printf('%.1f%%', predProb * 100) AS "Prob", printf('%.2f%%', edge * 100) AS "Edge",
-  strftime(startDate, '%m/%d %I:%M %p') AS "Time", venue AS "Venue" FROM p WHERE homeSpread IS NOT NULL""")
+  strftime(startDate, '%m/%d %I:%M %p') AS "Time", venue AS "Venue" FROM p""")
 def picks_table(spark, d):
-    return pk.display_table(_picks(spark, d, pk.SPREAD_SIDES, "homeSpread").where("homeSpread IS NOT NULL"))
+    return pk.display_table(_picks(spark, d, pk.SPREAD_SIDES, "homeSpread"))

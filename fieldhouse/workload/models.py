@@ -19,7 +19,7 @@ TARGET = "homeWin"
 
 def fixed(df, target=TARGET, keep=()):
     """Labelled rows written once, as a fit reads them many times."""
-    return pinned(df.dropna(subset=[target, *FEATURES]).select("gameId", *keep, target, *FEATURES))
+    return pinned(df.dropna(subset=[target]).select("gameId", *keep, target, *FEATURES))
 
 
 def rows(spark, d):
@@ -122,7 +122,7 @@ def daily_spread_picks(spark, d):
     games = hoops(spark, d)
     as_of = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     table = basketball.build_model_table(games, basketball.SPREAD_STATS, [3], "homeCover")
-    history = pinned(table.where(F.col("startDate") < as_of).dropna(subset=["homeCover", *basketball.SPREAD_FEATURES]))
+    history = pinned(table.where(F.col("startDate") < as_of).dropna(subset=["homeCover"]))
     m = md.fit(history, "homeCover", basketball.SPREAD_FEATURES, "lr", "classification")
     info = games.select("gameId", "startDate", F.concat(F.lit("Team "), "homeTeamId").alias("homeTeam"),
                         F.concat(F.lit("Team "), "awayTeamId").alias("awayTeam"), F.lit("Hall").alias("venue"))

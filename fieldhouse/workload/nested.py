@@ -230,6 +230,9 @@ def odds_pages(spark, d):
         "total": F.struct(F.col("overUnder").cast("double").alias("total"), F.lit(-112).alias("overOdds"), F.lit(-108).alias("underOdds")),
     }
 
+    bare = {"moneyline": "awayOdds int, homeOdds int", "spread": "awayOdds int, homeOdds int, awaySpread double, homeSpread double",
+            "total": "total double, overOdds int, underOdds int"}  # an empty object is no line
+
     def page(kind: str) -> Column:
         view = F.struct(
             k.cast("string").alias("gameId"),
@@ -239,6 +242,7 @@ def odds_pages(spark, d):
         books = F.array(
             F.struct(F.lit("alpha").alias("sportsbook"), lines[kind].alias("currentLine")),
             F.struct(F.lit(None).cast("string").alias("sportsbook"), lines[kind].alias("currentLine")),
+            F.struct(F.lit("bare").alias("sportsbook"), F.from_json(F.lit("{}"), bare[kind]).alias("currentLine")),
             F.struct(F.lit("closed").alias("sportsbook"), F.when(F.lit(False), lines[kind]).alias("currentLine")))
         rows = F.array(F.struct(view.alias("gameView"), books.alias("oddsViews")))
         newer = k % 2 == 0
@@ -283,14 +287,13 @@ def one_book_per_game(spark, d):
 WITH {GAMES_CTE}, {_ODDS}, g AS (SELECT gameId::VARCHAR AS game_id, gameDate AS game_datetime, 'City Team ' || homeTeamId AS home_name,
   'City Team ' || awayTeamId AS away_name, homeRuns AS home_score, awayRuns AS away_score FROM games)
 SELECT g.game_id, game_datetime, home_name AS full_home_name, away_name AS full_away_name, home_score, away_score, sportsbook, home_line, away_line
-FROM g JOIN odds ON game_datetime = game_time AND contains(home_name, home_team) AND contains(away_name, away_team)
-WHERE bet_type = 'moneyline' AND sportsbook = 'alpha'""")
+FROM g JOIN odds ON game_datetime = game_time AND contains(home_name, home_team) AND contains(away_name, away_team)""")
 def games_meet_odds(spark, d):
     g = games(spark, d).select(
         F.col("gameId").cast("string").alias("game_id"), F.col("gameDate").cast("timestamp").alias("game_datetime"),
         F.concat(F.lit("City Team "), "homeTeamId").alias("home_name"), F.concat(F.lit("City Team "), "awayTeamId").alias("away_name"),
         F.col("homeRuns").alias("home_score"), F.col("awayRuns").alias("away_score"))
-    odds = ns.odds_table(ns.odds_lines(odds_pages(spark, d))).where("bet_type = 'moneyline' AND sportsbook = 'alpha'")
+    odds = ns.odds_table(ns.odds_lines(odds_pages(spark, d)))
     return om.match_odds(g, odds).select("game_id", "game_datetime", "full_home_name", "full_away_name", "home_score", "away_score",
                                          "sportsbook", "home_line", "away_line")
 
