@@ -8,6 +8,7 @@ from fieldhouse.functions.odds import valid_prices
 from fieldhouse.operators import backtest as bt
 from fieldhouse.operators import picks as pk
 from fieldhouse.operators.sweep import best_cell, threshold_sweep
+from fieldhouse.plans.thresholds import optimise_then_evaluate
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import HOOPS_CTE, SCORED_CTE, hoops, scored
 
@@ -184,6 +185,38 @@ def optimised_vs_evaluated(spark, d):
     return out.select([r6(c) if c in diffs else F.col(c) for c in out.columns])
 
 
+def _evaluated_sql(name: str, half: str) -> str:
+    return f"""{name} AS (SELECT count(*) AS bets, {_r('avg(win)', 4)} AS win_rate, {_r('avg(units)', 4)} AS roi_per_bet,
+  {_r('avg(units) / stddev_samp(units)', 4)} AS sharpe FROM chosen WHERE half = '{half}')"""
+
+
+_OPTIMISED = f"""{_PRICED},
+numbered AS (SELECT *, row_number() OVER (ORDER BY gameDate, gameId) AS p, count(*) OVER () AS n FROM priced),
+opt AS (SELECT * FROM numbered WHERE p <= n // 2){_SWEEP.format(step=0.05, n=9)[len(_PRICED):].replace(
+    'FROM priced JOIN cells', 'FROM opt JOIN cells').replace('count(*) >= 100', 'count(*) >= (SELECT greatest(10, count(*) // 4) FROM opt)')},
+best AS (SELECT * FROM sweep ORDER BY roi_per_bet DESC, lower_threshold, upper_threshold LIMIT 1),
+sided2 AS (SELECT CASE WHEN p <= n // 2 THEN 'o' ELSE 'e' END AS half, actual, homeMoneyline, awayMoneyline,
+  (proba >= upper_threshold)::INTEGER AS side FROM numbered, best WHERE proba >= upper_threshold OR proba <= lower_threshold),
+chosen AS (SELECT half, (side = actual)::INTEGER AS win, CASE WHEN side <> actual THEN -1.0::DOUBLE
+  WHEN side = 1 THEN {_PAY.format(o='homeMoneyline')} ELSE {_PAY.format(o='awayMoneyline')} END AS units FROM sided2),
+{_evaluated_sql('o', 'o')}, {_evaluated_sql('e', 'e')}"""
+
+
+@query("optimised_then_evaluated", f"""
+WITH {_OPTIMISED}
+SELECT lower_threshold, upper_threshold, o.bets AS opt_bets, o.win_rate AS opt_win_rate, o.roi_per_bet AS opt_roi_per_bet, o.sharpe AS opt_sharpe,
+  e.bets AS eval_bets, e.win_rate AS eval_win_rate, e.roi_per_bet AS eval_roi_per_bet, e.sharpe AS eval_sharpe,
+  e.bets - o.bets AS bets_diff, round(e.win_rate - o.win_rate, 6) AS win_rate_diff,
+  round(e.roi_per_bet - o.roi_per_bet, 6) AS roi_per_bet_diff, round(e.sharpe - o.sharpe, 6) AS sharpe_diff,
+  e.roi_per_bet - o.roi_per_bet >= -0.05 AS generalises,
+  CASE WHEN e.roi_per_bet > 0.05 THEN 'STRONG' WHEN e.roi_per_bet > 0 THEN 'MARGINAL' ELSE 'NEGATIVE' END AS verdict
+FROM best, o, e""")
+def optimised_then_evaluated(spark, d):
+    out = optimise_then_evaluate(priced(spark, d), step=0.05)
+    diffs = ("win_rate_diff", "roi_per_bet_diff", "sharpe_diff")
+    return out.select([r6(c) if c in diffs else F.col(c) for c in out.columns])
+
+
 def _scored_hoops(spark, d):
     return hoops(spark, d).withColumn("predProb", F.col("proba")).withColumn(
         "predClass", (F.col("proba") >= 0.5).cast("int"))
