@@ -11,7 +11,7 @@ from fieldhouse.plans.picks_job import spread_picks
 from fieldhouse.session import pinned
 from fieldhouse.workload.features import model_table
 from fieldhouse.workload.registry import query
-from fieldhouse.workload.views import hoops
+from fieldhouse.workload.views import GAMES_CTE, games, hoops
 
 FEATURES = ["runs_diff_l3", "hits_diff_l3", "obp_diff_l3", "favoriteDegree", "impliedProbDiff"]
 TARGET = "homeWin"
@@ -59,6 +59,18 @@ def scores_regression(spark, d):
     return m.score(df).select("gameId", "overUnder", "prediction")
 
 
+@query("regression_line", f"""
+WITH {GAMES_CTE}, f AS (SELECT regr_slope(homeHits, homeRuns) AS slope, regr_intercept(homeHits, homeRuns) AS start, avg(homeRuns) AS middle
+  FROM games WHERE gameDate < TIMESTAMP '1997-01-01' AND homeHits IS NOT NULL)
+SELECT gameId, round(slope * coalesce(homeRuns, middle) + start, 1) AS prediction FROM games, f WHERE gameDate >= TIMESTAMP '1997-01-01'""")
+def regression_line(spark, d):
+    """Fitted on the games before 1997, scored on the others; a game without runs counts as the training mean."""
+    g = games(spark, d).select("gameId", "gameDate", "homeRuns", "homeHits")
+    early = F.col("gameDate") < F.lit("1997-01-01").cast("timestamp_ntz")
+    m = md.fit(pinned(g.where(early & F.col("homeHits").isNotNull())), "homeHits", ["homeRuns"], "linear", "regression")
+    return m.score(g.where(~early)).select("gameId", F.round("prediction", 1).alias("prediction"))
+
+
 @query("time_split_metrics")
 def time_split_metrics(spark, d):
     t = md.train(rows(spark, d), TARGET, FEATURES, "gameId", "lr", "classification", "precision", folds=2, split="time",
