@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ from fieldhouse.functions.calendar import (
 from fieldhouse.operators import cleaning as cl
 from fieldhouse.operators import nested as ns
 from fieldhouse.operators.profile import has_data
-from fieldhouse.sources.files import pitch_scan, read_landing, season_scan
+from fieldhouse.sources.files import broken_documents, pitch_scan, read_landing, season_scan
 from fieldhouse.sources.tables import LoadResult, TableStore
 
 
@@ -67,7 +67,9 @@ def load(store: TableStore, which: Load, docs: DataFrame, dry_run: bool = False)
 
 
 def load_landing(store: TableStore, which: Load, path: str, dry_run: bool = False) -> LoadResult:
-    return load(store, which, read_landing(store.spark, path, which.ddl), dry_run)
+    """Load a landing directory; documents that do not parse are set aside and counted in the result."""
+    result = load(store, which, read_landing(store.spark, path, which.ddl), dry_run)
+    return replace(result, rejected=store.reject(broken_documents(store.spark, path, which.ddl), which.spec))
 
 
 def build_tables(
@@ -93,9 +95,11 @@ def build_tables(
             if as_of is not None and which.when:
                 rows = recent(rows, which.when, as_of, back, ahead)
             result = store.upsert(rows, which.spec, dry_run)
+            broken = store.reject(broken_documents(store.spark, f"{landing.rstrip('/')}/{name}", which.ddl), which.spec)
+            error = f"{broken} documents could not be read" if broken else None
         except Exception as e:  # noqa: BLE001 - one table must not stop the others
             error = f"{type(e).__name__}: {e}"[:500]
-        log.append((name, error is None, (result.inserted if result else 0), (result.updated if result else 0),
+        log.append((name, result is not None, (result.inserted if result else 0), (result.updated if result else 0),
                     begun, datetime.now(timezone.utc), error))
     return run_log(store.spark, log)
 

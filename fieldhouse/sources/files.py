@@ -53,10 +53,21 @@ def write_by_value(df: DataFrame, column: str, path: str, mode: str = "errorifex
 
 
 def read_landing(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """JSON documents of a landing directory under a fixed schema: no inference pass, bad documents as NULLs."""
+    """JSON documents of a landing directory under a fixed schema: no inference pass, bad documents as NULLs.
+
+    The bad documents themselves are what `broken_documents` returns.
+    """
     return spark.read.schema(ddl).json(path)
 
 
+def broken_documents(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """(document) of a landing directory that do not parse under the schema, as they stand."""
+    mark = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = F.from_json("value", f"{ddl}, _corrupt_record string", mark)
+    return spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("value").alias("document"), parsed["_corrupt_record"].alias("_bad")).where(F.col("_bad").isNotNull()).select("document")
+
+
 def season_scan(df: DataFrame, seasons: Sequence[int | str], column: str = "season") -> DataFrame:
     """Rows of the given seasons. On data partitioned by season the others are never read."""
     kind = df.schema[column].dataType

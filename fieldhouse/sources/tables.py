@@ -31,6 +31,7 @@ class LoadResult:
     updated: int = 0
     unchanged: int = 0
     dry_run: bool = False
+    rejected: int = 0
 
 
 class TableStore:
@@ -180,6 +181,13 @@ class TableStore:
         gone = folders.join(rows.select(*parts).distinct(), same, "left_anti")
         return [r["folder"] for r in gone.select("folder").distinct().collect()]  # at most the touched partitions
 
+    def reject(self, documents: DataFrame, spec: TableSpec) -> int:
+        """Keep documents that could not be read beside the tables; returns how many."""
+        n = documents.count()
+        if n:
+            documents.withColumn("rejected_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/_rejected/{spec.name}")
+        return n
+
     def copy_new(self, df: DataFrame, spec: TableSpec) -> int:
         """Append the rows whose key is not there yet; returns how many."""
         seen = Observation()

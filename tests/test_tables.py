@@ -266,3 +266,15 @@ def test_odds_seasons(spark, store):
     assert loads.load_odds_seasons(store, pages, [2020, 2021]).inserted == 1
     row = store.read(sc.BASEBALL_TABLES["BettingOdds"]).where("game_id = '2020-08-01'").first()
     assert (float(row["total"]), row["over_odds"], row["game_time"]) == (8.5, -110, dt.datetime(2020, 8, 1, 18))
+
+
+def test_broken_documents_are_set_aside(spark, store, tmp_path):
+    landing = tmp_path / "GameLines"
+    landing.mkdir()
+    good = {"id": 1, "season": 2024, "lines": [{"provider": "P", "spread": -1.5, "overUnder": 140.0}]}
+    (landing / "a.json").write_text(json.dumps(good) + "\n{\"id\": 2, \"lines\": [\n\nnot json\n")
+    which = loads.BASKETBALL_LOADS["GameLines"]
+    result = loads.load_landing(store, which, str(landing))
+    assert result.rejected == 2 and result.inserted <= 1
+    kept = spark.read.parquet(f"{store.root}/_rejected/{which.spec.name}")
+    assert sorted(r["document"] for r in kept.collect()) == ["not json", '{"id": 2, "lines": [']
