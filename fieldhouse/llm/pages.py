@@ -329,6 +329,16 @@ def main_text(net: Labeller | None, htmls: list[str]) -> list[str]:
     return ["\n".join(b[1] for b, k in zip(p, label) if k) for p, label in zip(pages, labels)]
 
 
+def sample_of(pages: DataFrame) -> DataFrame:
+    """(mark, page_id, html) of the FIT_PAGES different pages with the smallest hashes, among those of FIT_LENGTH characters at most.
+
+    Only hashes are ordered; the pages are then fetched by them, so no task or driver gets more than the sample.
+    """
+    marked_ = pages.where(F.length("html").between(1, FIT_LENGTH)).select(F.xxhash64("page_id", "html").alias("mark"), "page_id", "html")
+    least = marked_.select("mark").distinct().orderBy("mark").limit(FIT_PAGES)
+    return marked_.join(F.broadcast(least), "mark").dropDuplicates()
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """Per row of `pages`: row (its columns other than html, as a struct), and text.
 
@@ -338,8 +348,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     Other columns are carried unread, whatever their names.
     """
     small_batches(pages.sparkSession, 256)
-    sample = pages.where(F.length("html").between(1, FIT_LENGTH)).select("page_id", "html").orderBy(F.xxhash64("page_id", "html"), "html").limit(FIT_PAGES)
-    net = fit([r["html"] for r in sample.collect()])
+    net = fit([r["html"] for r in sorted(sample_of(pages).collect())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

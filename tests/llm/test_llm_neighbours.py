@@ -72,8 +72,9 @@ def test_buckets_may_be_split(spark, monkeypatch, split):
     assert recall(got, brute(rows, 10)) > 0.9
 
 
-def test_recall_on_the_given_table(spark):
+@pytest.mark.parametrize("how", [None, Settings(1, 12, 8), Settings(2, 24, 250)])
+def test_recall_on_the_given_table(spark, how):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
-    got = results(nearest(df, F.col("vec_id") % 100 == 0))
+    got = results(nearest(df, F.col("vec_id") % 100 == 0, how=how))
     assert recall(got, brute(rows, 10)) >= 0.9
