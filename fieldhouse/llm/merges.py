@@ -27,7 +27,7 @@ from fieldhouse.llm.kernels import U, chunks, flat, list_column, mix
 SPACE_MARK = 0x2581
 """Fixed value of the format: the sign that stands for a space in pieces."""
 LONG = 40
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 NONE = np.int64(1 << 40)
 
 
