@@ -6,14 +6,17 @@ bands is such that a pair at the threshold shares no bucket with a probability o
 
 Pairs inside a bucket are not written out. Equal sets are one node from the start. Then
 
-1. every member of a bucket meets the bucket's leader, the member with most bucket-mates over all bands: the pairs
-   that agree in enough of the signature are confirmed on full sets, and the links give first components;
+1. a bucket's leader is its member with most bucket-mates over all bands, and every text meets the foremost leader of
+   its buckets: the pairs that agree in enough of the signature are confirmed on full sets, and the links give first
+   components;
 2. buckets whose members are all in one component are done. In the others, each member outside the bucket's largest
-   component meets the members of the bucket, in blocks of BLOCK signatures, so that no link is lost; what agrees in
-   enough of the signature and is still apart is confirmed on full sets.
+   component meets one member of it, drawn anew for every bucket, and what is linked joins in;
+3. in the buckets that are still open, each member outside the largest component meets all members of the bucket, in
+   blocks of BLOCK signatures with their texts, so that no link is lost; what agrees in enough of the signature is
+   confirmed on full sets right there, and only links leave the task.
 
-So a group of thousands of near copies costs one pair per member and leader, and there is no cap on a bucket. Texts
-that are no candidates are shuffled once, to pick out those that are.
+So a group of thousands of near copies costs a few pairs per member, and there is no cap on a bucket. Texts are shuffled
+once, compressed, to pick out those that share a bucket.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from fieldhouse.llm.common import discard, saved, small_batches
 from fieldhouse.llm.components import components
-from fieldhouse.llm.kernels import U, chunks, flat, list_column, mix, word_hashes
+from fieldhouse.llm.kernels import U, chunks, flat, list_column, mix, packed_texts, unpacked, word_hashes
 
 MISS = 1e-6
 """Chance that a pair at the threshold shares no bucket."""
@@ -143,71 +146,96 @@ def agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "sa", "sb").mapInArrow(compared, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold. `pairs` is a written table."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    texts = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), "near-texts")
+def candidates(docs: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(doc_id, text) of the texts that share a bucket, compressed; a shuffle at every size, as nothing bounds them."""
+    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed_texts, "doc_id long, text binary")
+    return saved(packed.join(wanted, "doc_id", "left_semi"), "near-texts")
 
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             sides = []
             for name in ("ta", "tb"):
                 sets: list[np.ndarray] = []
-                for _, _, values, ends in _each_set(x.column(name), width):
+                for _, _, values, ends in _each_set(unpacked(x.column(name)), width):
                     sets += np.split(values, ends[1:-1])
                 sides.append(sets)
-            keep = []
-            for p, q in zip(*sides):
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(len(p) > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+            keep = [reaches(p, q, percent) for p, q in zip(*sides)]
             yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one = lambda k: texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"t{k}"))
     found = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "ta", "tb").mapInArrow(checked, "a long, b long")
-    found = saved(found.distinct(), "near-links")
-    discard(texts)
-    return found
+    return saved(found.distinct(), "near-links")
 
 
-def across(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are in different components, and agree in `least` of the signature."""
+def open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, rep, root, main, blocks) of buckets with members of several components; main is the largest in the bucket."""
     placed = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("root", "rep").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    open_ = sizes.groupBy("key").agg(
+    several = sizes.groupBy("key").agg(
         F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("size"), F.count("*").alias("parts")).where(
         "parts > 1").select("key", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = saved(placed.join(open_, "key").join(nodes.select("rep", "signature"), "rep"), "near-open")
+    return placed.join(several, "key")
+
+
+def draws(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member outside its bucket's largest component and one member of that, drawn by a hash."""
+    drawn = rows.where("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64("key", "rep").alias("h"), "rep"))["rep"].alias("lead"))
+    met = rows.where("root <> main").join(drawn, "key")
+    return met.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
+
+
+def reaches(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sets (sorted, distinct) reach the threshold."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return len(p) > 0 and 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def across(rows: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int, least: float) -> DataFrame:
+    """Links (a, b) between members of an open bucket that are in different components."""
+    texts = texts.select(F.col("doc_id").alias("rep"), "text")
+    rows = saved(rows.join(nodes.select("rep", "signature"), "rep").join(texts, "rep"), "near-open")
     number = F.row_number().over(Window.partitionBy("key").orderBy("root", "rep")) - 1
-    fixed = rows.select("key", F.floor(number / BLOCK).cast("int").alias("block"), F.lit(0).alias("role"), "rep", "root", "signature")
+    fixed = rows.select("key", F.floor(number / BLOCK).cast("int").alias("block"), F.lit(0).alias("role"), "rep", "root", "signature", "text")
     moving = rows.where("root <> main").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "rep", "root", "signature")
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "rep", "root", "signature", "text")
     together = fixed.unionAll(moving).repartition("key", "block").sortWithinPartitions("key", "block", "role")
 
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        sets: list[np.ndarray] = []
+        for _, _, values, ends in _each_set(unpacked(column), width):
+            sets += np.split(values, ends[1:-1])
+        return sets
+
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rep, root, sig = None, [], [], []
+        now, rep, root, sig, full = None, [], [], [], []
         for x in batches:
             if not x.num_rows:
                 continue
             key, block, role, r, c = (x.column(n).to_numpy() for n in ("key", "block", "role", "rep", "root"))
-            m = _matrix(x.column("signature"))
+            m, sets = _matrix(x.column("signature")), sets_of(x.column("text"))
             turn = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (role[1:] != role[:-1])) + 1
             for s, e in zip(np.concatenate([[0], turn]), np.append(turn, len(key))):
                 if (key[s], block[s]) != now:
-                    now, rep, root, sig = (key[s], block[s]), [], [], []
+                    now, rep, root, sig, full = (key[s], block[s]), [], [], [], []
                 if role[s] == 0:
-                    rep, root, sig = [*rep, r[s:e]], [*root, c[s:e]], [*sig, m[s:e]]
+                    rep, root, sig, full = [*rep, r[s:e]], [*root, c[s:e]], [*sig, m[s:e]], full + sets[s:e]
                     continue
                 if len(rep) > 1:
                     rep, root, sig = [np.concatenate(rep)], [np.concatenate(root)], [np.concatenate(sig)]
-                pairs = []
+                a, b = [], []
                 for i in range(s, e):
-                    near = (root[0] != c[i]) & ((sig[0] == m[i]).mean(axis=1) >= least)
-                    pairs.append(np.column_stack([np.full(int(near.sum()), r[i]), rep[0][near]]))
-                pairs = np.sort(np.concatenate(pairs), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    for j in np.flatnonzero((root[0] != c[i]) & ((sig[0] == m[i]).mean(axis=1) >= least)):
+                        if reaches(sets[i], full[j], percent):
+                            a.append(min(r[i], rep[0][j]))
+                            b.append(max(r[i], rep[0][j]))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return together.mapInArrow(met, "a long, b long").distinct()
+    return saved(together.mapInArrow(met, "a long, b long").distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -232,14 +260,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = saved(every.join(shared, "key"), "near-buckets")
     mates = buckets.groupBy("rep").agg(F.sum("n").alias("mates"))
-    leaders = buckets.join(mates, "rep").groupBy("key").agg(
-        F.max(F.struct("mates", (-F.col("rep")).alias("low")))["low"].alias("low")).select("key", (-F.col("low")).alias("a"))
-    stars = buckets.join(leaders, "key").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-    links = confirmed(saved(agreeing(stars, nodes, least), "near-stars"), docs, width, percent)
+    foremost = F.max(F.struct("mates", (-F.col("rep")).alias("low"))).alias("lead")
+    leaders = buckets.join(mates, "rep").groupBy("key").agg(foremost)
+    stars = buckets.join(leaders, "key").groupBy("rep").agg(F.max("lead")["low"].alias("low")).select(
+        (-F.col("low")).alias("a"), F.col("rep").alias("b")).where("a <> b")
+    texts = candidates(docs, buckets)
+    links = confirmed(saved(agreeing(stars, nodes, least), "near-stars"), texts, width, percent)
     roots = components(links, "a", "b")
-    rest = confirmed(saved(across(buckets, nodes, roots, least), "near-across"), docs, width, percent)
-    linked = roots.where("node <> root").select("node", "root").unionAll(rest.select("a", "b"))
-    roots = components(linked, "node", "root")
+    for last in (False, True):
+        rows = saved(open_buckets(buckets, roots), "near-buckets-open")
+        if last:
+            more = across(rows, nodes, texts, width, percent, least)
+        else:
+            more = confirmed(saved(agreeing(draws(rows), nodes, least), "near-pairs"), texts, width, percent)
+        roots = components(roots.where("node <> root").select("node", "root").unionAll(more.select("a", "b")), "node", "root")
+    discard(texts)
     final = nodes.select("f1", "f2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("root", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "f1", "f2").join(final, ["f1", "f2"], "left")

@@ -29,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.llm.common import discard, row_key, saved, small_batches
-from fieldhouse.llm.kernels import U, flat, mix
+from fieldhouse.llm.kernels import U, flat, mix, packed_texts, unpacked
 
 DEPTH = 200
 """Bytes of a string whose repeats are removed."""
@@ -136,20 +135,6 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate([[0], np.cumsum(count)]).astype(np.int64), column.flatten()
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows with their text compressed."""
-    press = zstandard.ZstdCompressor(level=1)
-    for b in batches:
-        at = b.schema.get_field_index("text")
-        texts = b.column(at).cast(pa.binary()).to_pylist()
-        yield b.set_column(at, pa.field("text", pa.binary()), pa.array([None if t is None else press.compress(t) for t in texts], pa.binary()))
-
-
-def _unpacked(column: pa.Array) -> pa.Array:
-    open_ = zstandard.ZstdDecompressor()
-    return pa.array([None if t is None else open_.decompress(t) for t in column.to_pylist()], pa.binary())
-
-
 def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, k1, k2, lo, alone, piece): the bytes that the windows of a listed run cover.
 
@@ -158,7 +143,7 @@ def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     names = ["bucket", "k1", "k2", "lo", "alone", "split", "piece"]
     for b in batches:
-        data, offsets = flat(_unpacked(b.column("text")))
+        data, offsets = flat(unpacked(b.column("text")))
         k1, k2 = (b.column(n).to_numpy(zero_copy_only=False) for n in ("k1", "k2"))
         ends, todo = _lists(b.column("todo"))
         run, gram, alone, parts = (todo.field(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -262,7 +247,7 @@ def repeated_windows(keyed: DataFrame) -> DataFrame:
     whole = shared.join(classes.where("members > 1").select("gram", "context"), ["gram", "context"]).select("k1", "k2", "run")
     todo = classes.join(split, "gram").groupBy("k1", "k2").agg(F.collect_list(
         F.struct("run", "gram", (F.col("members") == 1).alias("alone"), "parts")).alias("todo"))
-    slices = texts.mapInArrow(_packed, "k1 long, k2 long, text binary").join(todo, ["k1", "k2"]).select("k1", "k2", "text", "todo").mapInArrow(
+    slices = texts.mapInArrow(packed_texts, "k1 long, k2 long, text binary").join(todo, ["k1", "k2"]).select("k1", "k2", "text", "todo").mapInArrow(
         _slices_of, "bucket long, k1 long, k2 long, lo long, alone boolean, split boolean, piece binary")
     edges = slices.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_by_bucket, "k1 long, k2 long, run long")
     found = saved(whole.unionAll(edges).groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "suffix-found")
@@ -289,7 +274,7 @@ def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        data, offsets = flat(_unpacked(b.column("text")))
+        data, offsets = flat(unpacked(b.column("text")))
         ends, found = _lists(b.column("runs"))
         found = found.to_numpy(zero_copy_only=False).astype(np.int64)
         known = b.column("text").is_valid().to_numpy(zero_copy_only=False)
@@ -328,7 +313,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     keyed = docs.select(*row_key(docs), "text", F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("row"))
     found = repeated_windows(keyed)
     kind = keyed.schema["row"].dataType.simpleString()
-    packed = keyed.mapInArrow(_packed, f"k1 long, k2 long, text binary, row {kind}")
+    packed = keyed.mapInArrow(packed_texts, f"k1 long, k2 long, text binary, row {kind}")
     rows = packed.join(found, ["k1", "k2"], "left").select("text", "row", "runs")
     return rows.mapInArrow(
         _cleaned, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
