@@ -78,3 +78,34 @@ def test_recall_on_the_given_table(spark, how):
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     got = results(nearest(df, F.col("vec_id") % 100 == 0, how=how))
     assert recall(got, brute(rows, 10)) >= 0.9
+
+
+@pytest.mark.parametrize("n, dim", [(5_000, 64), (12_000, 128)])
+def test_recall_does_not_hang_on_size_or_dimension(spark, n, dim):
+    x = np.random.default_rng(3).standard_normal((n, dim))
+    rows = [(i, (v / np.linalg.norm(v)).tolist(), 0, "") for i, v in enumerate(x)]
+    assert recall(results(nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0)), brute(rows, 10)) >= 0.95
+
+
+def test_settings_reach_the_target_on_other_queries():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((20_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+
+    def true(q):
+        return np.concatenate([np.argsort(((x - x[i]) ** 2).sum(axis=1))[1:11] for i in q]), np.repeat(np.arange(len(q)), 10)
+
+    near, of = true(range(96))
+    how = A.settings(x[:96], x[near], of, len(x), 200, 11)
+    near, of = true(range(100, 200))
+    q, y, hit = padded(x[100:200]), padded(x[near]), np.zeros(len(near), bool)
+    for t in range(how.tables):
+        hit |= (probes_of(q, how, t, 11)[of] == buckets_of(y, how, t, 11)[:, None]).any(axis=1)
+    assert hit.mean() > 0.95
+
+
+def test_queries_with_few_candidates_are_compared_with_all(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(16).tolist(), 0, "") for i in range(1000)]
+    got, want = results(nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, how=Settings(3, 1, 1))), brute(rows, 10)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
