@@ -6,7 +6,8 @@ hashed words, and a few measures. A bidirectional LSTM in numpy reads the blocks
 over both states labels each as main text or not.
 
 There are no labelled pages, so the network is fitted to what page authors mark: FIT_PAGES pages, chosen by a hash of
-the id, whose article or main element is the main text. So that it does not hang on those names alone, every page is
+the id among those whose article or main element is the main text. Where no page has such marks, a stated rule over the
+names of elements and the measures of blocks labels them. So that it does not hang on those names alone, every page is
 also shown in a disguise: elements of each role are renamed, and sidebars, comments, notices and forms with other
 pages' sentences are put around the text. Fitting runs on the driver on that bounded sample, labelling on the executors.
 """
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldhouse.llm.common import small_batches
+from fieldhouse.llm.common import saved, small_batches
 from fieldhouse.llm.kernels import U, flat, word_hashes
 
 FIT_PAGES, FIT_LENGTH, PASSES = 240, 30_000, 8
@@ -322,21 +323,61 @@ def fit(htmls: list[str], seed: int = 5) -> Labeller | None:
     return net
 
 
+NAMED = {mark: role == "main" for role, names in ROLES.items() for name in names for mark in (name.split(".")[1:] or [name])}
+"""Roles that the names in ROLES tell: a class or id, or the element where it has none."""
+SENTENCE, ENDS = 40, tuple(".!?\u2026\u3002\uff01\uff1f")
+
+
+def by_rule(page: list[tuple[tuple[str, ...], str, int]]) -> list[bool]:
+    """Labels without a network: what the author marks, and on a page without marks a rule.
+
+    The innermost element whose name, class or id is in NAMED decides. Where none is, a block is main text if at most a
+    third of its characters are links and it has SENTENCE characters or ends like a sentence; a heading is if the
+    following block is.
+    """
+    if any(marked(b[0]) for b in page):
+        return [marked(b[0]) for b in page]
+    roles = [next((NAMED[m] for name in reversed(path) for m in name.split(".") if m in NAMED), None) for path, _, _ in page]
+    out, following = [], False
+    for (path, text, linked), role in zip(reversed(page), reversed(roles)):
+        heading = bool(path) and path[-1].split(".")[0] in ("h1", "h2", "h3", "h4", "h5", "h6")
+        following = role if role is not None else 3 * linked <= len(text) and (
+            following if heading else len(text) >= SENTENCE or text.endswith(ENDS))
+        out.append(following)
+    return out[::-1]
+
+
 def main_text(net: Labeller | None, htmls: list[str]) -> list[str]:
-    """Blocks labelled as main text, one to a line. Without a network, what the authors' elements mark."""
+    """Blocks labelled as main text, one to a line. Without a network, those that `by_rule` labels."""
     pages = [blocks_of(h) for h in htmls]
-    labels = net.label(pages) if net else [[marked(b[0]) for b in p] for p in pages]
+    labels = net.label(pages) if net else [by_rule(p) for p in pages]
     return ["\n".join(b[1] for b, k in zip(p, label) if k) for p, label in zip(pages, labels)]
 
 
+def with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with a block that its author marks as main text."""
+    for b in batches:
+        yield b.filter(pa.array([any(marked(x[0]) for x in blocks_of(h)) for h in b.column("html").to_pylist()], pa.bool_()))
+
+
 def sample_of(pages: DataFrame) -> DataFrame:
-    """(mark, page_id, html) of the FIT_PAGES different pages with the smallest hashes, among those of FIT_LENGTH characters at most.
+    """(mark, page_id, html) of the FIT_PAGES different pages with the smallest hashes, among those of FIT_LENGTH characters at most whose authors mark main text.
 
-    Only hashes are ordered; the pages are then fetched by them, so no task or driver gets more than the sample.
+    Only hashes are ordered; the pages are then fetched by them, so no task or driver gets more than the sample. Pages
+    where an article or main tag is written are drawn first; only if one of these turns out to mark nothing (a tag in a
+    comment, an empty element) are all of them parsed for the draw.
     """
-    marked_ = pages.where(F.length("html").between(1, FIT_LENGTH)).select(F.xxhash64("page_id", "html").alias("mark"), "page_id", "html")
-    least = marked_.select("mark").distinct().orderBy("mark").limit(FIT_PAGES)
-    return marked_.join(F.broadcast(least), "mark").dropDuplicates()
+    likely = pages.where(F.length("html").between(1, FIT_LENGTH) & F.col("html").rlike(r"(?i)<(article|main)[\t\n\r\f />]")).select(
+        F.xxhash64("page_id", "html").alias("mark"), "page_id", "html")
+
+    def drawn(of: DataFrame) -> DataFrame:
+        least = of.select("mark").distinct().orderBy("mark").limit(FIT_PAGES)
+        return saved(likely.join(F.broadcast(least), "mark").dropDuplicates(), "page-sample")
+
+    first = drawn(likely)
+    if first.mapInArrow(with_marks, first.schema).count() == first.count():
+        return first
+    return drawn(likely.mapInArrow(with_marks, likely.schema))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -92,3 +92,26 @@ def test_given_pages(spark, data):
     got = {r["row"]["page_id"]: r["text"] for r in P.extracted(df).collect()}
     want = {r["page_id"]: "\n".join(b[1] for b in blocks_of(r["html"]) if P.marked(b[0])) for r in df.collect()}
     assert got == want
+
+
+def test_only_pages_with_marks_are_drawn(spark, monkeypatch):
+    from fieldhouse.llm import pages as P
+
+    monkeypatch.setattr(P, "FIT_PAGES", 10)
+    plain = [(i, "", f"<html><body><div><p>plain page {i}</p></div></body></html>") for i in range(300)]
+    seeming = [(1000 + i, "", f"<html><body><!-- <article> --><article></article><p>seeming {i}</p></body></html>") for i in range(50)]
+    true = [(2000 + i, "", f"<html><body><MAIN\nid=a><p>true {i}</p></MAIN></body></html>") for i in range(12)]
+    for rows in (plain + true, plain + seeming + true):
+        got = P.sample_of(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert len(got) == 10 and all(r["page_id"] >= 2000 for r in got)
+
+
+def test_pages_without_any_marks_give_text(spark):
+    from fieldhouse.llm import pages as P
+
+    html = ("<html><body><nav><a href=x>Home</a></nav><div class='post'><h1>Title</h1><p>A first sentence of the page.</p></div><div><p>Another long "
+            "sentence of the page, outside of named elements</p><p><a href=y>all of this is only a link, however long it may be</a></p></div>"
+            "<div class='sidebar'><p>A sentence that stands at the side.</p></div></body></html>")
+    rows = [(1, "", html), (2, "", "<body><p>Short</p></body>"), (3, "", "<body><h2>Head</h2><p>It ends here.</p><h2>Last</h2></body>"), (4, "", None)]
+    out = {r["row"]["page_id"]: r["text"] for r in P.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {1: "Title\nA first sentence of the page.\nAnother long sentence of the page, outside of named elements", 2: "", 3: "Head\nIt ends here.", 4: ""}
