@@ -40,14 +40,23 @@ SILENT = frozenset("head noframes noscript script style svg template title".spli
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dd", "dt", "p"}, "dd": {"dd", "dt", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 """Fixed values of the format: elements that end a block, that hold no text, that have no content, and what an element ends."""
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+LEAVES_SVG = BREAKS | frozenset("b big body br code em embed font head i img meta nobr ruby s small span strong strike sub sup tt u var".split())
+INSIDE_SVG = frozenset("desc foreignobject".split())
+"""Start tags that head can hold, those that end an open svg, and elements of svg that hold ordinary ones."""
 KEEPERS, OTHERS = frozenset(["article", "main"]), frozenset(["aside", "footer", "form", "header", "nav"])
 
 
 class Blocks(HTMLParser):
-    """Leaf blocks of a page: (path of open elements, text with white space made single, characters inside links)."""
+    """Leaf blocks of a page: (path of open elements, text with white space made single, characters inside links).
 
-    def __init__(self) -> None:
+    As tags may be left out, text or a start tag that head cannot hold ends head, and an ordinary element ends an svg. A
+    noscript or template whose end tag never comes (`ends` counts those of the page) hides nothing.
+    """
+
+    def __init__(self, ends: dict[str, int] | None = None) -> None:
         super().__init__(convert_charrefs=True)
+        self.ends = ends or {}
         self.open: list[tuple[str, str]] = []  # (element, element with classes and id)
         self.blocks: list[tuple[tuple[str, ...], str, int]] = []
         self.text: list[str] = []
@@ -60,13 +69,20 @@ class Blocks(HTMLParser):
         self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.silent:
+            self.end_silent(tag)
         if tag in SILENT:
-            if tag not in EMPTY:
+            if tag not in EMPTY and self.ends.get(tag, 1) > 0:
                 self.silent += 1
                 self.open.append((tag, tag))
             return
+        if self.silent and tag in INSIDE_SVG:
+            self.open.append((tag, tag))
+            return
         if tag == "body":
             self.close_silent("head")
+            if any(name == "body" for name, _ in self.open):
+                return
         if tag == "a":
             self.links += 1
         if tag == "br":
@@ -83,6 +99,17 @@ class Blocks(HTMLParser):
             marks = sorted(set(f"{given.get('class') or ''} {given.get('id') or ''}".lower().split()))
             self.open.append((tag, ".".join([tag, *marks])))
 
+    def end_silent(self, tag: str) -> None:
+        """End the head or svg that cannot hold a start tag (text: the empty tag)."""
+        inner = next((name for name, _ in reversed(self.open) if name in SILENT or name in INSIDE_SVG), "")
+        if inner == "svg" and tag in LEAVES_SVG:
+            self.close_silent("svg")
+            inner = next((name for name, _ in reversed(self.open) if name in SILENT or name in INSIDE_SVG), "")
+        if inner == "head" and tag not in HEAD:
+            self.close_silent("head")
+            if tag not in ("body", "frameset"):
+                self.open.append(("body", "body"))
+
     def close_silent(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
@@ -91,7 +118,9 @@ class Blocks(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SILENT:
+        if tag in self.ends:
+            self.ends[tag] -= 1
+        if tag in SILENT or tag in INSIDE_SVG:
             self.close_silent(tag)
         elif tag == "a":
             self.links = max(0, self.links - 1)
@@ -104,6 +133,8 @@ class Blocks(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.open[-1][0] == "head" and data.strip():
+            self.end_silent("")
         if not self.silent:
             self.text.append(data)
             if self.links:
@@ -112,7 +143,8 @@ class Blocks(HTMLParser):
 
 def blocks_of(html: str) -> list[tuple[tuple[str, ...], str, int]]:
     """All leaf blocks of a page, in order."""
-    parser = Blocks()
+    low = html.lower()
+    parser = Blocks({tag: low.count(f"</{tag}") for tag in ("noscript", "template")})
     cut = html.rfind("<")
     broken = cut >= 0 and ">" not in html[cut:] and (html[cut + 1:cut + 2].isalpha() or html[cut + 1:cut + 2] in ("/", "!"))
     parser.feed(html[:cut] if broken else html)  # a tag that the page's end cuts off is no text

@@ -115,3 +115,21 @@ def test_pages_without_any_marks_give_text(spark):
     rows = [(1, "", html), (2, "", "<body><p>Short</p></body>"), (3, "", "<body><h2>Head</h2><p>It ends here.</p><h2>Last</h2></body>"), (4, "", None)]
     out = {r["row"]["page_id"]: r["text"] for r in P.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert out == {1: "Title\nA first sentence of the page.\nAnother long sentence of the page, outside of named elements", 2: "", 3: "Head\nIt ends here.", 4: ""}
+
+
+def test_tags_may_be_left_out():
+    from fieldhouse.llm.pages import blocks_of, main_text
+
+    def texts(html):
+        return [b[1] for b in blocks_of(html)]
+
+    head = "<html><head><meta charset=x><title>t</title><style>p {}</style>"
+    assert main_text(None, [f"{head}<article><p>text</p></article>", f"{head}<link href=x><article><p>text</p></article></html>"]) == ["text", "text"]
+    assert blocks_of(f"{head}<article><p>text</p></article>") == blocks_of(f"{head}</head><body><article><p>text</p></article></body></html>")
+    assert texts(f"{head}text of the page<p>more") == ["text of the page", "more"]
+    assert texts(f"{head}<noscript><p>no script</p></noscript><script>x</script>\n<p>text") == ["text"]
+    assert texts(f"{head}<p>one<body class=c><p>two") == ["one", "two"]
+    assert texts("<body><div><svg><path d=x><text>drawn</text><p>one</p></div><p>two") == ["one", "two"]
+    assert texts("<body><svg><text>drawn</text></svg><p>one<svg><foreignObject><div>drawn</div></foreignObject><text>drawn</text></svg> two") == ["one", "two"]
+    assert texts("<body><div><noscript><p>one</div><p>two") == ["one", "two"]
+    assert texts("<body><template><p>hidden</p></template><div><template><p>one</div><p>two") == ["one", "two"]
