@@ -34,12 +34,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five words, 0.8), the one with the smallest id.
 
-    Of rows that repeat an id one stays; rows without id stay.
+    A document is an id with a text: rows that repeat an id with another text are judged by their own text, and of rows
+    that repeat both one stays. Rows without id stay.
     """
-    kept = near_duplicates(docs, width=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("_rn", one).where("_rn = 1").select(docs.columns)
-    return named.unionAll(docs.where("doc_id IS NULL"))
+    node = F.xxhash64("doc_id", F.col("text").isNull(), "text")
+    named = docs.where("doc_id IS NOT NULL")
+    keys = named.select(node.alias("_node"), F.col("doc_id").alias("_id")).distinct()
+    found = near_duplicates(named.select(node.alias("doc_id"), "text"), width=5, percent=80)
+    grouped = found.select(F.col("doc_id").alias("_node"), "component_id").distinct().join(keys, "_node")
+    kept = grouped.groupBy("component_id").agg(F.min(F.struct("_id", "_node"))["_node"].alias("_node")).select("_node")
+    one = F.row_number().over(Window.partitionBy("_node").orderBy(F.xxhash64(*docs.columns)))
+    left = named.withColumn("_node", node).join(kept, "_node", "left_semi").withColumn("_rn", one).where("_rn = 1")
+    return left.select(docs.columns).unionAll(docs.where("doc_id IS NULL"))
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,3 +98,15 @@ def test_empty_tables(spark, stages, tmp_path):
         out = stage(spark, empty, d)
         assert out.count() == 0
     assert docs.where(F.lit(False)).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_different_texts(spark):
+    import corpus_pipeline as C
+
+    say = lambda word: " ".join(f"{word}{i}" for i in range(60))
+    rows = [(1, say("a"), "en", "s", 1), (1, say("b"), "en", "s", 1), (1, say("b"), "en", "s", 1), (2, say("c"), "en", "s", 1), (3, say("b") + " end", "en", "s", 1),
+            (5, say("c"), "en", "s", 1), (6, None, "en", "s", 1), (6, "", "en", "s", 1), (None, say("a"), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in C.drop_near_duplicates(spark, docs, "").collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    assert sorted(got, key=order) == sorted([(1, say("a")), (1, say("b")), (2, say("c")), (6, ""), (6, None), (None, say("a"))], key=order)
