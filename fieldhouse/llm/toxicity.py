@@ -1,16 +1,19 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is read in windows of 16 words that overlap by half; all of them are scored and the highest counts. A word
-enters as the sum of three learned vectors: one of its hashed lower-cased self (word input), and one each of its first
-and its last three bytes (character inputs). Two recurrent layers run over a window in either direction, attention
-weighs the states, and a logistic unit reads their weighted mean. Texts carry labels but windows do not, so after a
-first pass in which windows take the label of their text, only the windows that the network finds most toxic are
-trained on (the highest of a text stand for the text). The score of a text is a logistic curve over its highest
-windows' logits and the sum of all its windows' probabilities.
-
-The network is fitted on the driver from a bounded sample: FIT_TEXTS labelled rows of each class, chosen by a hash of
-the id, FIT_CHARS characters of each. Rows whose crc32(doc_id) mod 5 is 0 are held out. Scoring runs on the executors
-over whole texts, a chunk of bytes at a time.
+A text is read in windows of 16 words that overlap by half; all of them are scored and the highest count. A word
+enters as the sum of four learned vectors: one of its hashed lower-cased self (word input), and one each of its first
+three, first six and last three bytes (character inputs). Two recurrent layers run over a window in either direction,
+attention weighs the states, and a logistic unit reads their weighted mean. Texts carry labels but windows do not, so
+after a first pass in which windows take the label of their text, only the windows that the network finds most toxic are
+trained on (the highest of a text stand for the text). The score of a text is a logistic curve over the logits of its
+highest windows: nothing in it adds up over the text, so a long clean text scores like a short one. A text without words
+has nothing toxic in it and scores 0.
+
+The network is fitted on the driver from a bounded sample of whole texts: FIT_TEXTS labelled ids of each class at most,
+in the order of a hash of the id, until a class has FIT_BYTES bytes (a class always has its first text). The curve is
+fitted to every CURVE-th text of the sample, which the network does not see; both classes weigh the same there, so 0.5
+is where a text is as much like the toxic ones as like the others. Rows whose crc32(doc_id) mod 5 is 0 are held out. Scoring runs on the executors over whole texts, a
+chunk of bytes at a time.
 """
 
 from __future__ import annotations
@@ -19,18 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldhouse.llm.common import small_batches
+from fieldhouse.llm.common import small_batches, text_bytes
 from fieldhouse.llm.kernels import U, chunks, flat, span_hashes
 
 WINDOW, STRIDE = 16, 8
 WORDS, ENDS, DIM, HIDDEN, ATTEND = 1 << 15, 1 << 12, 16, 8, 8
 """Buckets of whole words, buckets of word ends, size of an input vector, of a state and of the attention layer."""
-FIT_TEXTS, FIT_CHARS = 900, 12_000
-TOP = 3
-"""Highest windows of a text that its score rests on; one harsh word lies in two windows, so the third tells of more."""
+FIT_TEXTS, FIT_BYTES, CURVE = 2400, 24_000_000, 6
+TOP = 5
+"""Highest windows of a text that its score rests on; one harsh word lies in two windows, so the third and fifth tell of more."""
+PASSES, SEEN = 8, 3
 CHUNK = 1 << 19
 BLOCK = 4096
 """Windows that run through the network together."""
@@ -48,7 +52,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def inputs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of word, of first bytes, of last bytes) per word, and the number of the first word of each text.
+    """(bucket of word, of first three bytes, of first six, of last three) per word, and the first word's number per text.
 
     Words are runs of ASCII letters, digits and bytes of other alphabets.
     """
@@ -58,15 +62,16 @@ def inputs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     low = LOWER[data]
     first = np.searchsorted(start, offsets)
     if not len(start):
-        return np.zeros((0, 3), np.int32), first
-    out = np.empty((len(start), 3), np.int32)
+        return np.zeros((0, 4), np.int32), first
+    out = np.empty((len(start), 4), np.int32)
     out[:, 0] = span_hashes(low, start, end) % U(WORDS)
     length = end - start
     near = lambda at, ok: np.where(ok, low[np.clip(at, 0, len(low) - 1)], 0).astype(np.int64)
     head = near(start, length > 0) + near(start + 1, length > 1) * 31 + near(start + 2, length > 2) * 1013
     tail = near(end - 1, length > 0) + near(end - 2, length > 1) * 29 + near(end - 3, length > 2) * 1187
     out[:, 1] = head % ENDS
-    out[:, 2] = tail % ENDS
+    out[:, 2] = span_hashes(low, start, np.minimum(end, start + 6)) % U(ENDS)
+    out[:, 3] = tail % ENDS
     return out, first
 
 
@@ -79,9 +84,9 @@ def apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, words, text) of every window; a text without words has one empty window."""
+    """(first word, words, text) of every window; a text without words has none."""
     n = np.diff(first)
-    count = 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
+    count = np.where(n > 0, 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE)), 0)
     text = np.repeat(np.arange(len(n)), count)
     number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
     start = first[:-1][text] + number * STRIDE
@@ -100,26 +105,43 @@ class Network:
         draw = lambda *s, by=1.0: (rng.standard_normal(s) * by).astype(np.float32)
         h = HIDDEN
         self.p = {
-            "word": draw(WORDS, DIM, by=0.1), "head": draw(ENDS, DIM, by=0.1), "tail": draw(ENDS, DIM, by=0.1),
+            "word": draw(WORDS, DIM, by=0.1), "head": draw(ENDS, DIM, by=0.1), "stem": draw(ENDS, DIM, by=0.1), "tail": draw(ENDS, DIM, by=0.1),
             "att": draw(2 * h, ATTEND, by=0.4), "att_b": draw(ATTEND, by=0), "att_v": draw(ATTEND, by=0.5),
             "out": draw(2 * h, by=0.5), "out_b": np.zeros(1, np.float32)}
         for d in "fb":
             self.p |= {f"w{d}": draw(DIM, 3 * h, by=DIM ** -0.5), f"u{d}": draw(h, 3 * h, by=h ** -0.5), f"b{d}": draw(3 * h, by=0)}
-        self.mean, self.spread, self.curve = np.zeros(3), np.ones(3), np.zeros(4)
-
-    def features(self, top: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """What a text's score is made of: its highest logit, the last of its TOP highest, and the sum of probabilities."""
+        self.curve = np.array([1.0, 0.0, 0.0, 0.0])
+        self.word, self.stem = np.arange(WORDS, dtype=np.int32), np.arange(ENDS, dtype=np.int32)
+
+    def know(self, words: np.ndarray, first: np.ndarray) -> None:
+        """From now on, words and stems of fewer than SEEN of these texts share one vector: what is rare can't be learned."""
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        for column, table in ((0, self.word), (2, self.stem)):
+            pairs = np.unique(text * np.int64(WORDS) + words[:, column])
+            table[np.bincount(pairs % WORDS, minlength=len(table)) < SEEN] = 0
+
+    def mapped(self, words: np.ndarray) -> np.ndarray:
+        words = words.copy()
+        words[:, 0], words[:, 2] = self.word[words[:, 0]], self.stem[words[:, 2]]
+        return words
+
+    def features(self, top: np.ndarray) -> np.ndarray:
+        """The highest logit of a text, its third and its fifth highest; the last one stands for those that are missing."""
         last = np.where(np.isfinite(top), top, np.inf).min(axis=1)
-        return np.column_stack([top[:, 0], last, np.log(total + 0.01)])
-
-    def probability(self, top: np.ndarray, total: np.ndarray) -> np.ndarray:
-        x = (self.features(top, total) - self.mean) / self.spread
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -500, 500)))
+        third, fifth = (np.where(np.isfinite(top[:, k]), top[:, k], last) for k in (2, 4))
+        return np.clip(np.column_stack([top[:, 0], third, fifth]), -20, 20)
+
+    def probability(self, top: np.ndarray) -> np.ndarray:
+        """0 for a text without windows."""
+        some, out = np.isfinite(top[:, 0]), np.zeros(len(top))
+        x = self.features(top[some]) @ self.curve[:-1] + self.curve[-1]
+        out[some] = 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+        return out
 
     def gates(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input vectors of words and what they add to the gates, forward and backward."""
         p = self.p
-        x = p["word"][words[:, 0]] + p["head"][words[:, 1]] + p["tail"][words[:, 2]]
+        x = p["word"][words[:, 0]] + p["head"][words[:, 1]] + p["stem"][words[:, 2]] + p["tail"][words[:, 3]]
         return x, x @ p["wf"] + p["bf"], x @ p["wb"] + p["bb"]
 
     def _run(self, gate: np.ndarray, place: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> list[np.ndarray]:
@@ -189,7 +211,7 @@ class Network:
                 carry = d_next * z + rec @ u.T + stay
             g[f"u{k}"], g[f"w{k}"], g[f"b{k}"] = d_u, x.T @ d_gate, d_gate.sum(axis=0)
             d_x += d_gate @ p[f"w{k}"].T
-        for i, name in enumerate(("word", "head", "tail")):
+        for i, name in enumerate(("word", "head", "stem", "tail")):
             g[name] = np.zeros_like(p[name])
             np.add.at(g[name], words[:, i], d_x)
         return g
@@ -197,12 +219,10 @@ class Network:
     def logits(self, words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Of all windows, a block at a time."""
         out = np.empty(len(start), np.float32)
-        if not len(words):
-            words = np.zeros((1, 3), np.int32)
         for s in range(0, len(start), BLOCK):
             own = slice(s, s + BLOCK)
-            lo, hi = int(start[own].min()), int((start[own] + np.maximum(size[own], 1)).max())
-            _, gf, gb = self.gates(words[min(lo, len(words) - 1):max(hi, lo + 1)])
+            lo, hi = int(start[own].min()), int((start[own] + size[own]).max())
+            _, gf, gb = self.gates(self.mapped(words[lo:hi]))
             place, mask = places(start[own] - lo, size[own], len(gf))
             out[own] = self.forward(gf, gb, place, mask)
         return out
@@ -220,7 +240,7 @@ def _train(net: Network, words: np.ndarray, start: np.ndarray, size: np.ndarray,
     for own in np.array_split(rng.permutation(chosen), max(1, len(chosen) // 256)):
         place, mask = places(start[own], size[own], len(words))
         used, inverse = np.unique(place, return_inverse=True)
-        g = net.gradients(words[used], inverse.reshape(place.shape), mask, label[own])
+        g = net.gradients(net.mapped(words[used]), inverse.reshape(place.shape), mask, label[own])
         memory["t"] = memory.get("t", 0) + 1
         for k, v in g.items():
             m, s = memory.setdefault(k, (np.zeros_like(v), np.zeros_like(v)))
@@ -230,45 +250,53 @@ def _train(net: Network, words: np.ndarray, start: np.ndarray, size: np.ndarray,
 
 
 def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Network | None:
-    """A network fitted to labelled texts; None unless both labels are there."""
-    if len(set(toxic)) < 2:
+    """A network fitted to labelled texts that have words; None unless both labels are there."""
+    words, first = inputs(*apart(*flat(pa.array(texts, pa.string()))))
+    some = np.flatnonzero(np.diff(first))
+    label = np.array(toxic, np.float32)
+    if len(set(label[some].tolist())) < 2:
         return None
     rng, net = np.random.default_rng(seed), Network(seed)
-    words, first = inputs(*apart(*flat(pa.array(texts, pa.string()))))
     start, size, text = windows(first)
-    label = np.array(toxic, np.float32)
+    unseen = np.zeros(len(texts), bool)  # by the network: of either class every CURVE-th, where there are enough
+    for side in (0, 1):
+        of = some[label[some] == side]
+        unseen[of[CURVE - 1::CURVE]] = True
+    both = len(set(label[unseen].tolist())) == 2
+    learn = ~unseen if both else np.ones(len(texts), bool)
+    net.know(words, first)
     memory: dict = {}
     bound = np.searchsorted(text, np.arange(len(texts) + 1))
-    draw = np.concatenate([rng.choice(np.arange(a, b), min(b - a, 12), replace=False) for a, b in zip(bound, bound[1:])])
+    draw = np.concatenate([rng.choice(np.arange(bound[t], bound[t + 1]), min(bound[t + 1] - bound[t], 12), replace=False) for t in some if learn[t]])
     for _ in range(2):
         _train(net, words, start, size, label[text], draw, memory, 0.01, rng)
-    for _ in range(6):  # from here on, the highest windows of a text stand for it
-        order = np.lexsort((-net.logits(words, start, size), text))
-        rank = np.arange(len(order)) - bound[text[order]]
-        keep = np.where(label[text[order]] > 0, 3, 6)
-        _train(net, words, start, size, label[text], order[rank < keep], memory, 0.006, rng)
-    top, total = evidence(net.logits(words, start, size), text, len(texts))
-    x = net.features(top, total)
-    net.mean, net.spread = x.mean(axis=0), x.std(axis=0) + 1e-6
-    x = np.column_stack([(x - net.mean) / net.spread, np.ones(len(x))])
-    side = np.where(label > 0, 0.5 / label.sum(), 0.5 / (1 - label).sum())  # both classes weigh the same
+    own = learn[text]
+    for k in range(PASSES):  # from here on, the highest windows of a text stand for it
+        at = np.flatnonzero(own)
+        at = at[np.lexsort((-net.logits(words, start[at], size[at]), text[at]))]
+        rank = np.arange(len(at)) - np.searchsorted(text[at], text[at])
+        _train(net, words, start, size, label[text], at[rank < np.where(label[text[at]] > 0, 3, 6)], memory, 0.006 if k < PASSES - 2 else 0.002, rng)
+    judge = unseen if both else np.isin(np.arange(len(texts)), some)
+    at = np.flatnonzero(judge[text])
+    x = net.features(highest(net.logits(words, start[at], size[at]), text[at], len(texts))[judge])
+    x, y = np.column_stack([x, np.ones(len(x))]), label[judge]
+    side = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     net.curve = np.zeros(x.shape[1])
+    ridge = 1e-3 * np.eye(x.shape[1])
     for _ in range(30):  # Newton steps with a small ridge
         q = _sigmoid(x @ net.curve)
-        slope = x.T @ ((q - label) * side) + 1e-4 * net.curve
-        net.curve -= np.linalg.solve((x * (side * q * (1 - q))[:, None]).T @ x + 1e-4 * np.eye(x.shape[1]), slope)
+        net.curve -= np.linalg.solve((x * (side * q * (1 - q))[:, None]).T @ x + ridge, x.T @ ((q - y) * side) + ridge @ net.curve)
     return net
 
 
-def evidence(logit: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The TOP highest logits of every text (-inf where it has fewer windows), and the sum of its windows' probabilities."""
+def highest(logit: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """The TOP highest logits of every text, -inf where it has fewer windows."""
     order = np.lexsort((-logit, text))
-    begin = np.searchsorted(text, np.arange(n))
-    rank = np.arange(len(order)) - begin[text[order]]
+    rank = np.arange(len(order)) - np.searchsorted(text[order], text[order])
     top = np.full((n, TOP), -np.inf)
     first = rank < TOP
     top[text[order][first], rank[first]] = logit[order][first]
-    return top, np.bincount(text, _sigmoid(logit.astype(np.float64)), n)
+    return top
 
 
 def cut_long(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -296,33 +324,43 @@ def cut_long(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tupl
 
 def score_texts(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Probability of every text, from all its windows."""
-    n = len(offsets) - 1
-    top, total = np.full((n, TOP), -np.inf), np.zeros(n)
+    top = np.full((len(offsets) - 1, TOP), -np.inf)
     for part, ends, text in cut_long(data, offsets, CHUNK):
         words, first = inputs(*apart(part, ends))
         start, size, of = windows(first)
-        high, more = evidence(net.logits(words, start, size), of, len(text))
+        high = highest(net.logits(words, start, size), of, len(text))
         top[text] = -np.sort(-np.concatenate([top[text], high], axis=1), axis=1)[:, :TOP]
-        total[text] += more
-    return net.probability(top, total)
+    return net.probability(top)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bounded sample that a network is fitted on: (doc_id, toxic, text)."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "toxic")
+    """The bounded sample that a network is fitted on: (doc_id, toxic, text).
+
+    Of different texts with one id, the one with the smallest hash stands for the id. What makes the rest of the bound,
+    FIT_BYTES, is a running sum over at most FIT_TEXTS rows of each class.
+    """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    one = lambda k: known.where(F.col("toxic") == k).dropDuplicates().orderBy(*order).limit(FIT_TEXTS)
+    one = lambda k: known(labels).where(F.col("toxic") == k).dropDuplicates().orderBy(*order).limit(FIT_TEXTS)
     chosen = F.broadcast(one(1).unionAll(one(0)))  # 2 * FIT_TEXTS rows at most
-    return docs.select("doc_id", F.substring("text", 1, FIT_CHARS).alias("text")).join(chosen, "doc_id").dropDuplicates()
+    texts = docs.select("doc_id", F.struct(F.xxhash64("text").alias("h"), "text").alias("t")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("t")["text"].alias("text"))
+    before = F.sum(text_bytes("text")).over(Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return texts.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < FIT_BYTES).select("doc_id", "toxic", "text")
+
+
+def known(labels: DataFrame) -> DataFrame:
+    """Labels that may be learned from."""
+    return labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of `docs`: row (all its columns, as a struct) and score, from 0 to 1.
 
-    A null text scores like one without words: its one window is empty. Without labelled rows of both classes all
-    scores are 0. A null id counts as not held out; labels without id or with a label other than 0 and 1 are not
-    learned from; an id that is labelled twice is learned twice. Repeated rows get equal scores; an empty table gives an
-    empty result. Neither id, language, source nor label is an input of a score. Other columns are carried unread.
+    A text without words, null and empty ones included, scores 0. Without labelled rows of both classes all scores are 0.
+    A null id counts as not held out; labels without id or with a label other than 0 and 1 are not learned from; an id
+    that has both labels is learned with both. Repeated rows get equal scores; an empty table gives an empty result. A
+    text of any length is scored by all its windows. Neither id, language, source nor label is an input of a score.
+    Other columns are carried unread.
     """
     small_batches(docs.sparkSession)
     sample = sorted((r["doc_id"], r["toxic"], r["text"] or "") for r in training_rows(docs, labels).collect())
