@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity
+from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,11 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return pages.extracted(table(spark, d, "pages")).select(
         "row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op13_whitening_by_dqds")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    found = whitening.whitened(table(spark, d, "embeddings"), components=8)
+    found = found.select("row.vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("_at", "whitened"))
+    return found.select("vec_id", (F.col("_at") + 1).alias("component"), "n", "deviation", "whitened",
+                        F.element_at("explained", F.col("_at") + 1).alias("explained"), "identity_error")
