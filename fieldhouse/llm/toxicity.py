@@ -83,6 +83,13 @@ def apart(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, offsets + np.arange(n + 1)
 
 
+def inputs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`inputs` of many texts, a chunk of bytes at a time."""
+    parts = [inputs(*apart(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])) for i, j in chunks(offsets, CHUNK)]
+    before = np.cumsum([0] + [len(w) for w, _ in parts])
+    return np.concatenate([w for w, _ in parts]), np.concatenate([[0], *(f[1:] + b for (_, f), b in zip(parts, before))])
+
+
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, words, text) of every window; a text without words has none."""
     n = np.diff(first)
@@ -251,7 +258,7 @@ def _train(net: Network, words: np.ndarray, start: np.ndarray, size: np.ndarray,
 
 def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Network | None:
     """A network fitted to labelled texts that have words; None unless both labels are there."""
-    words, first = inputs(*apart(*flat(pa.array(texts, pa.string()))))
+    words, first = inputs_of(*flat(pa.array(texts, pa.string())))
     some = np.flatnonzero(np.diff(first))
     label = np.array(toxic, np.float32)
     if len(set(label[some].tolist())) < 2:
