@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity, whitening
+from fieldhouse.llm import hilbert, licenses, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,6 +109,13 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
         "row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query("op12_license_diagonals", licenses.sql())
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scanned(table(spark, d, "documents")).select(
+        "row.doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
 @query("op13_whitening_by_dqds")
 def op13(spark: SparkSession, d: str) -> DataFrame:
     found = whitening.whitened(table(spark, d, "embeddings"), components=8)
