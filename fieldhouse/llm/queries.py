@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldhouse.llm import hilbert, licenses, merges, minhash, neighbours, packing, pages, rules, secrets, suffixes, toxicity, whitening
+from fieldhouse.llm import hilbert, licenses, merges, minhash, neighbours, packing, pages, phrases, rules, secrets, suffixes, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,6 +109,11 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
         "row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query("op11_collocations", phrases.SQL)
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return phrases.phrases(table(spark, d, "documents"), least=100, top=2000)
+
+
 @query("op12_license_diagonals", licenses.sql())
 def op12(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scanned(table(spark, d, "documents")).select(
