@@ -37,7 +37,7 @@ CLASS[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 """Bytes between words, and bytes that end a piece."""
 BITS = 26
 """log2 of the bits that mark frequent pairs (8 MB); with many more pairs than that, pieces are cut less often."""
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 """Words that are aggregated together in a task."""
 ROWS = 1 << 17
 
