@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -32,6 +33,7 @@ from fieldhouse.operators.ordering import with_position
 from fieldhouse.operators.shape import align_features
 from fieldhouse.operators.sizing import beside
 from fieldhouse.operators.splits import row_hash, split_by_time, split_random, with_folds, with_time_folds
+from fieldhouse.session import pinned
 
 LABEL = "label"
 # Names a model may be asked for by.
@@ -65,7 +67,11 @@ def draw_parameters(kind: str, rows: int, rng: random.Random) -> dict:
     return {"regParam": 1.0 / (10 ** rng.uniform(-3, 2) * max(rows, 1))}
 
 
-def estimator(kind: str, problem: str, features: int, classes: int = 2, seed: int = 42, **params) -> Estimator:
+def estimator(kind: str, problem: str, features: int, classes: int = 2, seed: int = 42, **params) -> Estimator | list[Estimator]:
+    """One stage; a list of stages for boosted trees of more than two classes, one for every class against the rest."""
+    if kind == "boosted" and problem == "classification" and classes > 2:
+        return [GBTClassifier(seed=seed, featuresCol="features", labelCol=f"{LABEL}_{i}", predictionCol=f"prediction_{i}", **params)
+                .setRawPredictionCol(f"raw_{i}").setProbabilityCol(f"probability_{i}") for i in range(classes)]
     common = {"featuresCol": "features", "labelCol": LABEL}
     classify = problem == "classification"
     if kind == "boosted":
@@ -81,24 +87,50 @@ def estimator(kind: str, problem: str, features: int, classes: int = 2, seed: in
     return (LogisticRegression if classify else LinearRegression)(**common, **params)
 
 
-def chain(features: Sequence[str], final: Estimator) -> Pipeline:
+def chain(features: Sequence[str], final: Estimator | list[Estimator]) -> Pipeline:
     """Missing features take the training mean, so that every row is fitted and scored."""
     filled = [f"_filled_{f}" for f in features]
     return Pipeline(stages=[
         Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
         VectorAssembler(inputCols=filled, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
-        final])
+        *(final if isinstance(final, list) else [final])])
 
 
-def score(model: PipelineModel, df: DataFrame, classify: bool = True) -> DataFrame:
-    """Rows with `predProb` and `predClass`, or with `prediction`; a missing feature counts as its training mean."""
-    keep = [F.col(c) for c in df.columns]
+def with_class_labels(rows: DataFrame, classes: int) -> DataFrame:
+    """`label_0`, `label_1` …: whether a row is of that class, for models of one class against the rest."""
+    return rows.withColumns({f"{LABEL}_{i}": (F.col(LABEL) == i).cast("double") for i in range(classes)})
+
+
+def predicted(model: PipelineModel, df: DataFrame, classify: bool = True) -> DataFrame:
+    """`df` with `prediction`, for classes also `probabilities`, one per class with sum 1.
+
+    One-against-rest chances are divided by their sum, and the largest decides; of equal ones the first class.
+    """
     out = model.transform(df)
     if not classify:
-        return out.select(*keep, "prediction")
-    return out.select(
-        *keep, vector_to_array("probability")[1].alias("predProb"), F.col("prediction").cast("int").alias("predClass"))
+        return out.select(*df.columns, "prediction")
+    parts = [m for m in model.stages if isinstance(m, GBTClassificationModel) and m.getProbabilityCol() != "probability"]
+    if not parts:
+        return out.select(*df.columns, "prediction", vector_to_array("probability").alias("probabilities"))
+    raw = F.array(*[vector_to_array(m.getProbabilityCol())[1] for m in parts])
+    total = F.aggregate(raw, F.lit(0.0), lambda a, b: a + b)
+    out = out.select(*df.columns, F.transform(raw, lambda v: F.coalesce(F.try_divide(v, total), F.lit(1.0 / len(parts)))).alias("probabilities"))
+    place = F.array_position("probabilities", F.array_max("probabilities")) - 1
+    return out.select(*df.columns, place.cast("double").alias("prediction"), "probabilities")
+
+
+def score(model: PipelineModel, df: DataFrame, classify: bool = True, classes: int = 2) -> DataFrame:
+    """Rows with `predProb` and `predClass`, or with `prediction`; a missing feature counts as its training mean.
+
+    predProb is the chance of class 1 of two; with more classes it is that of the predicted one, beside `probabilities`.
+    """
+    out = predicted(model, df, classify)
+    if not classify:
+        return out
+    one = F.col("probabilities")[1] if classes == 2 else F.array_max("probabilities")
+    return out.select(*df.columns, one.alias("predProb"), F.col("prediction").cast("int").alias("predClass"),
+                      *(["probabilities"] if classes > 2 else []))
 
 
 @dataclass
@@ -110,9 +142,10 @@ class Trained:
     params: dict = field(default_factory=dict)
     train: DataFrame | None = None
     test: DataFrame | None = None
+    classes: int = 2
 
     def score(self, df: DataFrame) -> DataFrame:
-        return score(self.model, df, self.problem == "classification")
+        return score(self.model, df, self.problem == "classification", self.classes)
 
     def metrics(self, df: DataFrame, target: str) -> DataFrame:
         """One row of metrics on labelled rows. AUC is taken from probabilities."""
@@ -121,6 +154,8 @@ class Trained:
             return mt.regression_metrics(scored, target, "prediction")
         named = scored.select(F.col(target).cast("int").alias("actual"), F.col("predClass").alias("pred"),
                               F.col("predProb").alias("proba"))
+        if self.classes > 2:
+            return mt.classification_metrics(mt.confusion(named))
         return beside(mt.classification_metrics(mt.confusion(named)), mt.auc(named))
 
 
@@ -128,11 +163,12 @@ def fit(
     df: DataFrame, target: str, features: Sequence[str], name: str = "xgb", problem: str | None = None, seed: int = 42,
     classes: int = 2, **params,
 ) -> Trained:
-    """Fit one model with given parameters on all rows of `df`."""
+    """Fit one model with given parameters on all rows of `df`. Labels of `classes` classes are 0, 1, … in order."""
     kind, problem = kind_of(name), problem or problem_type(df, target)
     final = estimator(kind, problem, len(features), classes, seed, **params)
     rows = df.select(*features, F.col(target).cast("double").alias(LABEL))
-    return Trained(name, chain(features, final).fit(rows), list(features), problem, params)
+    rows = with_class_labels(rows, classes) if isinstance(final, list) else rows
+    return Trained(name, chain(features, final).fit(rows), list(features), problem, params, classes=classes)
 
 
 def _evaluator(problem: str, metric: str):
@@ -144,7 +180,7 @@ def _evaluator(problem: str, metric: str):
 def search(
     df: DataFrame, target: str, features: Sequence[str], key: str, name: str = "xgb", problem: str = "classification",
     metric: str = "auto", trials: int = 10, folds: int = 5, time_col: str | None = None, seed: int = 42,
-    candidates: Sequence[dict] | None = None, parallelism: int = 4,
+    candidates: Sequence[dict] | None = None, parallelism: int = 4, classes: int = 2,
 ) -> tuple[dict, list[float]]:
     """Best parameters out of random candidates by cross-validation, and every candidate's mean score.
 
@@ -158,19 +194,24 @@ def search(
     tried = list(candidates or [draw_parameters(kind, size, rng) for _ in range(trials)])
     rows = df.select(*dict.fromkeys([key, *([time_col] if time_col else []), *features]), F.col(target).cast("double").alias(LABEL))
     better = max if ev.isLargerBetter() else min
-    if time_col:
-        folded = with_time_folds(rows, time_col, key, folds).cache()
+    several = kind == "boosted" and problem == "classification" and classes > 2
+    if time_col or several:
+        folded = pinned(with_time_folds(rows, time_col, key, folds) if time_col else with_folds(rows, key, folds, seed))
+        parts = [(F.col("fold") < i if time_col else F.col("fold") != i, F.col("fold") == i)
+                 for i in (range(1, folds + 1) if time_col else range(folds))]
         scores = []
         for p in tried:
-            line = chain(features, estimator(kind, problem, len(features), seed=seed, **p))
-            got = [ev.evaluate(line.fit(folded.where(F.col("fold") < i)).transform(folded.where(F.col("fold") == i)))
-                   for i in range(1, folds + 1)]
+            line = chain(features, estimator(kind, problem, len(features), classes, seed, **p))
+            got = []
+            for before, own in parts:
+                seen = folded.where(before)
+                model = line.fit(with_class_labels(seen, classes) if several else seen)
+                got.append(ev.evaluate(predicted(model, folded.where(own), problem == "classification")))
             scores.append(sum(got) / len(got))
-        folded.unpersist()
     else:
         folded = with_folds(rows, key, folds, seed)
-        base = chain(features, estimator(kind, problem, len(features), seed=seed))
-        grid = [_as_param_map(base.getStages()[-1], kind, len(features), p) for p in tried]
+        base = chain(features, estimator(kind, problem, len(features), classes, seed=seed))
+        grid = [_as_param_map(base.getStages()[-1], kind, len(features), p, classes) for p in tried]
         scores = CrossValidator(
             estimator=base, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds, parallelism=parallelism,
             seed=seed).fit(folded).avgMetrics
@@ -179,10 +220,10 @@ def search(
     return tried[best], scores
 
 
-def _as_param_map(stage, kind: str, features: int, params: dict) -> dict:
+def _as_param_map(stage, kind: str, features: int, params: dict, classes: int = 2) -> dict:
     values = dict(params)
     if kind == "network" and "hidden" in values:
-        values["layers"] = [features, values.pop("hidden"), 2]
+        values["layers"] = [features, values.pop("hidden"), classes]
     return {stage.getParam(n): v for n, v in values.items()}
 
 
@@ -234,30 +275,29 @@ def importance_table(spark: SparkSession, values: Mapping[str, float]) -> DataFr
         F.abs("importance").desc(), "feature")
 
 
-def permutation_importance(trained: Trained, df: DataFrame, target: str, key: str, repeats: int = 5, seed: int = 42) -> DataFrame:
-    """Mean drop in accuracy (or rise in squared error) when a feature is shuffled between rows.
+def permutation_importance(
+    trained: Trained, df: DataFrame, target: str, key: str, repeats: int = 5, seed: int = 42,
+    shuffle: Callable[[int], Column] | None = None,
+) -> DataFrame:
+    """(feature, importance, percent): mean drop in accuracy, or rise in squared error, when a feature is dealt anew.
 
-    A shuffle pairs each row with another by position in a hashed order. One pairing serves all features.
+    Every repeat pairs a row with the one at its place in another order, `shuffle(repeat)` and then the key (a hash of the
+    key by default). A row is then scored once per feature with that feature taken from its partner, and once as it is;
+    one aggregation by feature gives all figures, so jobs grow neither with features nor with repeats. Missing features
+    count as in the model; rows without target are not judged.
     """
-    spark = df.sparkSession
-    rows = df.select(key, F.col(target).alias("_y"), *trained.features).dropna()
-    classify = trained.problem == "classification"
-
-    def quality(scored: DataFrame) -> Column:
-        return F.avg((F.col("predClass") == F.col("_y")).cast("double")) if classify else -F.avg(
-            (F.col("prediction") - F.col("_y")) ** 2)
-
-    base = trained.score(rows).agg(quality(rows).alias("q")).first()["q"]
-    drops = {f: 0.0 for f in trained.features}
-    for r in range(repeats):
-        placed = with_position(rows, [], [key], "_p")
-        other = rows.withColumn("_h", row_hash([key], seed + r))
-        other = with_position(other, [], ["_h", key], "_p").select("_p", *[F.col(f).alias(f"_o_{f}") for f in trained.features])
-        paired = placed.join(other, "_p")
-        for f in trained.features:
-            shuffled = paired.select(key, "_y", *[F.col(f"_o_{c}").alias(c) if c == f else F.col(c) for c in trained.features])
-            drops[f] += (base - trained.score(shuffled).agg(quality(rows).alias("q")).first()["q"]) / repeats
-    return importance_table(spark, drops)
+    spark, features = df.sparkSession, trained.features
+    known = df.where(F.col(target).isNotNull()).select(key, F.col(target).alias("_y"), *features)
+    rows = pinned(known.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))))
+    order = F.coalesce(*[F.when(F.col("_r") == r, shuffle(r) if shuffle else row_hash([key], seed + r)) for r in range(repeats)])
+    placed = with_position(rows, ["_r"], [key], "_p")
+    other = with_position(rows.withColumn("_h", order), ["_r"], ["_h", key], "_p")
+    other = other.select("_r", "_p", F.struct(*features).alias("_o"))
+    taken = placed.join(other, ["_r", "_p"]).withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
+    dealt = taken.select("_f", "_y", *[F.when(F.col("_f") == i, F.col("_o")[c]).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)])
+    right = (F.col("predClass") == F.col("_y")).cast("double") if trained.problem == "classification" else -((F.col("prediction") - F.col("_y")) ** 2)
+    quality = {r["_f"]: r["q"] for r in trained.score(dealt).groupBy("_f").agg(F.avg(right).alias("q")).collect()}  # one row per feature
+    return importance_table(spark, {c: (quality[-1] - quality[i]) if quality else 0.0 for i, c in enumerate(features)})
 
 
 # ---- ensembles ---------------------------------------------------------------------------------------------
