@@ -168,8 +168,8 @@ def mlb_schedule(docs: DataFrame) -> DataFrame:
 
 # ---- odds pages --------------------------------------------------------------------------------------------
 
-# Fixed value: the script element that carries a page's data.
-PAGE_DATA = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
+# The script element that carries a page's data.
+PAGE_DATA, PAGE_DATA_END = r'<script[^>]*id="__NEXT_DATA__"[^>]*>', "</script>"
 BET_TYPES = ("moneyline", "spread", "total")
 # Line fields of each bet type, output column and document field.
 BET_FIELDS = {
@@ -184,15 +184,39 @@ ODDS_COLUMNS = [
 ]
 
 
+def page_data(html: str = "html") -> Column:
+    """What stands in a page's data element, to the end of a page that is cut off inside it; null without the element."""
+    return F.substring_index(F.get(F.split(html, PAGE_DATA, 2), 1), PAGE_DATA_END, 1)
+
+
+def parsed_pages(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("date", "bet_type")) -> DataFrame:
+    """`keep`, `doc` (the page's data, parsed once) and `broken`: the data that do not parse, or the page if it has none."""
+    kind = f"{ODDS_PAGE_JSON[:-1]},_corrupt_record:string>"
+    out = pages.select(*keep, html, page_data(html).alias("_data"))
+    out = out.select(*keep, html, "_data", F.from_json("_data", kind, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("doc"))
+    broken = F.when(F.coalesce(F.trim("_data"), F.lit("")) == "", F.coalesce(html, F.lit(""))).otherwise(F.col("doc._corrupt_record"))
+    return out.select(*keep, "doc", broken.alias("broken"))
+
+
+def broken_pages(parsed: DataFrame) -> DataFrame:
+    """Pages without readable data, as `page` beside the kept columns; write them aside and count them."""
+    return parsed.where(F.col("broken").isNotNull()).drop("doc").withColumnRenamed("broken", "page")
+
+
 def odds_lines(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("date", "bet_type")) -> DataFrame:
     """One row per game and sportsbook of each page: names, start, and the current line as a struct.
 
     Games come from the table model, or from the table itself on pages of the older layout. Games without both
-    team names and views without a current line, or with an empty one, are skipped.
+    team names and views without a current line, or with an empty one, are skipped. Pages that do not parse have no
+    lines here; `parsed_pages` keeps them.
     """
-    doc = F.from_json(F.regexp_extract(html, PAGE_DATA, 1), ODDS_PAGE_JSON)
+    return lines_of(pages.select(*keep, F.from_json(page_data(html), ODDS_PAGE_JSON).alias("doc")), keep)
+
+
+def lines_of(parsed: DataFrame, keep: Sequence[str] = ("date", "bet_type")) -> DataFrame:
+    """The lines of parsed pages."""
     first = F.try_element_at(F.col("doc.props.pageProps.oddsTables"), F.lit(1))
-    tables = pages.select(*keep, doc.alias("doc")).select(*keep, first.alias("t"))
+    tables = parsed.select(*keep, first.alias("t"))
     newer = F.col("t.oddsTableModel.gameRows")
     games = F.when(F.size(newer) > 0, newer).otherwise(F.col("t.gameRows"))
     rows = tables.select(*keep, F.explode(games).alias("g"))

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from fieldhouse.operators.cleaning import is_completed
 from fieldhouse.operators.sizing import beside, lookup
+from fieldhouse.session import pinned
+
+
+# What an odds row says of a game.
+PRICES = ("sportsbook", "home_line", "away_line", "total", "over_odds", "under_odds", "home_spread", "home_spread_odds",
+          "away_spread", "away_spread_odds")
 
 
 def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
@@ -29,9 +35,12 @@ def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
 def match_odds(games: DataFrame, odds: DataFrame) -> DataFrame:
     """Games and prices with the same start whose full names contain the short names of the odds.
 
+    Both sides are written once, as names and rows are taken from them: pages behind the prices are parsed a single time.
     The short home name is first resolved to the full names it may stand for; games and prices then meet on start
     and full home name, and the away name only filters the few rows that share both.
     """
+    games = pinned(games.select("game_id", "game_datetime", "home_name", "away_name", "home_score", "away_score"))
+    odds = pinned(odds.select("game_time", "home_team", "away_team", *PRICES))
     names = _names_containing(games.select(F.col("home_name").alias("full")), odds.select(F.col("home_team").alias("short")))
     named = odds.join(lookup(names), odds["home_team"] == names["short"]).withColumnRenamed("full", "_home")
     g, o = games.alias("g"), named.alias("o")
@@ -39,9 +48,7 @@ def match_odds(games: DataFrame, odds: DataFrame) -> DataFrame:
         o, (F.col("g.game_datetime") == F.col("o.game_time")) & (F.col("g.home_name") == F.col("o._home"))
         & F.contains("g.away_name", "o.away_team")).select(
         "g.game_id", "g.game_datetime", F.col("g.home_name").alias("full_home_name"),
-        F.col("g.away_name").alias("full_away_name"), "g.home_score", "g.away_score", "o.sportsbook",
-        "o.home_line", "o.away_line", "o.total", "o.over_odds", "o.under_odds", "o.home_spread",
-        "o.home_spread_odds", "o.away_spread", "o.away_spread_odds")
+        F.col("g.away_name").alias("full_away_name"), "g.home_score", "g.away_score", *[f"o.{c}" for c in PRICES])
 
 
 def one_book_per_game(odds: DataFrame, sportsbook: str, keys: Sequence[str] = ("game_id",)) -> DataFrame:

@@ -9,6 +9,7 @@ from fieldhouse import schemas as sc
 from fieldhouse.operators import nested as ns
 from fieldhouse.operators import odds_match as om
 from fieldhouse.operators.cleaning import clean_player_boxscores, clean_team_boxscores
+from fieldhouse.session import pinned
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import GAMES_CTE, games, table
 
@@ -219,7 +220,7 @@ def mlb_schedule_documents(spark, d):
 # ---- odds pages --------------------------------------------------------------------------------------------
 
 
-def odds_pages(spark, d):
+def odds_pages(spark, d, *keep):
     """One HTML page per game and bet type, half in the newer layout and half in the older one."""
     k = F.col("gameId")
     home, away = F.col("homeMoneyline"), F.col("awayMoneyline")
@@ -252,7 +253,7 @@ def odds_pages(spark, d):
                         F.lit("</script></body></html>"))
         return F.struct(F.to_date("gameDate").alias("date"), F.lit(kind).alias("bet_type"), html.alias("html"))
 
-    return games(spark, d).select(F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select("p.*")
+    return games(spark, d).select(*keep, F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select(*keep, "p.*")
 
 
 _ODDS = """odds AS (SELECT gameDate::DATE AS date, gameId::VARCHAR AS game_id, gameDate AS game_time, 'Team ' || awayTeamId AS away_team,
@@ -270,6 +271,24 @@ def odds_page_table(spark, d):
     return ns.odds_table(ns.odds_lines(odds_pages(spark, d)))
 
 
+@query("odds_pages_kept_aside", f"""
+WITH {GAMES_CTE}, p AS (SELECT *, CASE WHEN gameId % 31 = 0 THEN 'cut' WHEN gameId % 37 = 0 THEN 'empty' WHEN gameId % 41 = 0 THEN 'bare' ELSE 'good' END AS state
+  FROM games, (SELECT unnest(['moneyline', 'spread', 'total']) AS bet_type))
+SELECT bet_type, count(*) AS pages, count(*) FILTER (state <> 'good') AS broken, count(*) FILTER (state = 'cut') AS cut,
+  2 * count(*) FILTER (state = 'good' AND gameId % 29 <> 0) AS lines FROM p GROUP BY 1""")
+def odds_pages_kept_aside(spark, d):
+    """Pages cut off inside their data, empty ones and ones without the data element among good ones: none is lost uncounted."""
+    k = F.col("gameId")
+    html = F.when(k % 31 == 0, F.expr("left(html, length(html) - 60)")).when(k % 37 == 0, F.lit(None)).when(
+        k % 41 == 0, F.lit("<html><body>closed</body></html>")).otherwise(F.col("html"))
+    pages = odds_pages(spark, d, "gameId").withColumn("html", html)
+    parsed = pinned(ns.parsed_pages(pages))
+    lines = ns.lines_of(parsed).groupBy("bet_type").agg(F.count("*").alias("lines"))
+    page = ns.broken_pages(parsed).groupBy("bet_type").agg(F.count("*").alias("broken"), F.count_if(F.col("page").startswith("{")).alias("cut"))
+    every = parsed.groupBy("bet_type").agg(F.count("*").alias("pages"))
+    return every.join(page, "bet_type").join(lines, "bet_type").select("bet_type", "pages", "broken", "cut", "lines")
+
+
 @query("odds_union_of_shapes", f"WITH {GAMES_CTE}, {_ODDS} SELECT * EXCLUDE (date, game_time) FROM odds")
 def odds_union_of_shapes(spark, d):
     lines = ns.odds_lines(odds_pages(spark, d))
