@@ -1,13 +1,15 @@
 """Keyed Parquet tables under one root folder: append, upsert, insert-only copy, counts.
 
-An upsert is committed by one small file. The merged rows of the touched partitions are staged first, then a journal
-entry names them and the partitions that hold no row any more; from then on the change is made, and made again by
-whoever opens the table next if it was cut short. Applying an entry twice gives the same table.
+A table is a folder of versions, each a Parquet table as Spark writes it; readers take the newest one that was written
+to its end. Appends go into that one. An upsert whose rows stay in their partitions overwrites only these partitions of
+it, with Spark's dynamic partition overwrite: partitions change one after the other, so readers that look meanwhile may
+see some of them changed, and an upsert that was cut short is made whole by repeating it. An upsert that moves a row to
+another partition, or of a table without partitions, writes a whole new version; the one before stays for its readers
+until the next one is written. One upsert of a table runs at a time.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -40,48 +42,33 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, spec: TableSpec) -> str:
-        return f"{self.root}/{spec.name}"
-
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
+    def _versions(self, spec: TableSpec) -> dict[str, bool]:
+        """Names of the versions in order, and whether each was written to its end."""
+        fs, folder = self._fs(f"{self.root}/{spec.name}")
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        done = lambda n: fs.exists(self._fs(f"{self.root}/{spec.name}/{n}/_SUCCESS")[1])
+        return {n: done(n) for n in sorted(names) if n.startswith("v")}
+
+    def path(self, spec: TableSpec) -> str:
+        """The newest whole version, or where the first one will be."""
+        whole = [n for n, done in self._versions(spec).items() if done]
+        return f"{self.root}/{spec.name}/{whole[-1] if whole else 'v000001'}"
+
     def exists(self, spec: TableSpec) -> bool:
-        self._recover(spec)
-        fs, p = self._fs(self.path(spec))
-        return fs.exists(p)
-
-    def _journal(self, spec: TableSpec) -> str:
-        return f"{self.root}/_journal/{spec.name}.json"
-
-    def _commit(self, spec: TableSpec, staged: str, emptied: list[str]) -> None:
-        """Write the journal entry under another name and rename it, which is one step."""
-        fs, final = self._fs(self._journal(spec))
-        _, draft = self._fs(f"{self._journal(spec)}.{uuid.uuid4().hex}")
-        out = fs.create(draft, True)
-        try:
-            out.write(bytearray(json.dumps({"staged": staged, "emptied": emptied}), "utf-8"))
-        finally:
-            out.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"{spec.name}: another upsert is being committed")
-
-    def _recover(self, spec: TableSpec) -> None:
-        """Apply a committed change that was cut short."""
-        fs, entry = self._fs(self._journal(spec))
-        if fs.exists(entry):
-            self._apply(spec)
-
-    def _apply(self, spec: TableSpec) -> None:
-        """Bring the table to what the journal entry says, then remove the entry and the staged rows."""
-        entry = json.loads(self.spark.read.text(self._journal(spec), wholetext=True).first()[0])
-        rows = self.spark.read.parquet(entry["staged"]).drop(ACTION)
-        self._write(rows, self.path(spec), spec, "overwrite")
-        for folder in entry["emptied"]:
-            self._drop(folder)
-        self._drop(self._journal(spec))
-        self._drop(entry["staged"])
+        return any(self._versions(spec).values())
+
+    def _new_version(self, df: DataFrame, spec: TableSpec) -> None:
+        """Write the whole table anew; then the version before it is the only other one that stays."""
+        known = self._versions(spec)
+        number = max((int(n[1:]) for n in known), default=0) + 1
+        self._write(df, f"{self.root}/{spec.name}/v{number:06d}", spec, "errorifexists")
+        whole = [n for n, done in known.items() if done]
+        for name in set(known) - set(whole[-1:]):
+            self._drop(f"{self.root}/{spec.name}/{name}")
 
     def read(self, spec: TableSpec) -> DataFrame:
         """The table, or an empty frame of its schema before the first load."""
@@ -100,7 +87,9 @@ class TableStore:
     def _write(self, df: DataFrame, path: str, spec: TableSpec, mode: str) -> None:
         writer = df.write.mode(mode).option("maxRecordsPerFile", 5_000_000)
         if spec.partition_by:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by)
+            writer = writer.partitionBy(*spec.partition_by)
+            if mode == "overwrite":
+                writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
 
     def append(self, df: DataFrame, spec: TableSpec) -> None:
@@ -119,35 +108,44 @@ class TableStore:
         """Merge `df` into the table by key and report what changed.
 
         The source is written once to a staging folder, so every later step sees the same rows. Only partitions
-        that hold a source row, or a target row about to change, are read and rewritten; a partition that loses its
-        last row goes. See the head of this file for what happens when an upsert is cut short.
+        that hold a source row, or a target row about to change, are read and rewritten, unless a row moves; see the
+        head of this file. Nothing is written where nothing changes.
         """
         limits = Limits.of(self.spark)
         source, stage = self._staged(conform(df, spec.schema, extra=spec.open_columns))
+        staged = [stage]
         try:
             if not repeated_keys(source, spec.keys).isEmpty():
                 raise ValueError(f"{spec.name}: several source rows share a key {spec.keys}")
             small = source.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows
             target = self.read(spec)
             target = with_missing(target, {f.name: f.dataType.simpleString() for f in source.schema.fields})
-            if spec.partition_by:
+            here = bool(spec.partition_by) and self.exists(spec) and self._moved(target, source, spec, small).isEmpty()
+            if here:
                 target = self._touched(target, source, spec, small)
-            held = target
             merged = merge_rows(target, source, spec.keys, F.current_timestamp(), small)
-            if dry_run:
-                n = self._actions(merged)
-            else:
-                rows, merged_path = self._staged(merged)
-                n = self._actions(rows)
-                if n.get("insert") or n.get("update"):
-                    self._commit(spec, merged_path, self._emptied(held, rows, spec))
-                    self._apply(spec)
-                elif drop_stage:
-                    self._drop(merged_path)
+            if here and not dry_run:
+                merged, path = self._staged(merged)  # a partition cannot be read and overwritten at once
+                staged.append(path)
+            n = self._actions(merged)
+            if not dry_run and (n.get("insert") or n.get("update")):
+                if here:
+                    self._write(merged.drop(ACTION), self.path(spec), spec, "overwrite")
+                else:
+                    self._new_version(merged.drop(ACTION), spec)
             return LoadResult(spec.name, n.get("insert", 0), n.get("update", 0), n.get("same", 0), dry_run)
         finally:
-            if drop_stage:
-                self._drop(stage)
+            for path in staged if drop_stage else ():
+                self._drop(path)
+
+    @staticmethod
+    def _moved(target: DataFrame, source: DataFrame, spec: TableSpec, small: bool) -> DataFrame:
+        """Keys that the source has in another partition than the table."""
+        parts = list(spec.partition_by)
+        there = source.select(*spec.keys, *[F.col(p).alias(f"_n_{p}") for p in parts if p not in spec.keys])
+        other = [~F.col(p).eqNullSafe(F.col(f"_n_{p}")) for p in parts if p not in spec.keys]
+        held = target.select(*dict.fromkeys([*spec.keys, *parts])).join(F.broadcast(there) if small else there, list(spec.keys))
+        return held.where(reduce(lambda a, b: a | b, other, F.lit(False))).select(*spec.keys)
 
     @staticmethod
     def _actions(merged: DataFrame) -> dict[str, int]:
@@ -170,17 +168,6 @@ class TableStore:
         exact = self.spark.createDataFrame(rows, wanted.schema).select([F.col(p).alias(f"_w_{p}") for p in parts])
         return target.join(F.broadcast(exact), reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_w_{p}")) for p in parts]), "left_semi")
 
-    def _emptied(self, held: DataFrame, rows: DataFrame, spec: TableSpec) -> list[str]:
-        """Folders of the read partitions that no merged row belongs to."""
-        if not spec.partition_by or not self.exists(spec):
-            return []
-        parts = list(spec.partition_by)
-        folder = F.url_decode(F.replace(F.regexp_replace(F.input_file_name(), "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))  # names come as URIs
-        folders = held.select(*[F.col(p).alias(f"_h_{p}") for p in parts], folder.alias("folder")).distinct()
-        same = reduce(lambda a, b: a & b, [F.col(f"_h_{p}").eqNullSafe(F.col(p)) for p in parts])
-        gone = folders.join(rows.select(*parts).distinct(), same, "left_anti")
-        return [r["folder"] for r in gone.select("folder").distinct().collect()]  # at most the touched partitions
-
     def reject(self, documents: DataFrame, spec: TableSpec) -> int:
         """Keep documents that could not be read beside the tables; returns how many."""
         n = documents.count()

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldhouse.functions.calendar import PITCH_DEFAULT, PITCH_SEASONS, season_bounds
 from fieldhouse.operators import upsert as up
 from fieldhouse.operators.profile import repeated_keys
 from fieldhouse.operators.sizing import Limits
+from fieldhouse.schemas import TableSpec
+from fieldhouse.session import ensure_checkpoint_dir
 from fieldhouse.sources.files import pitch_scan, season_scan
+from fieldhouse.sources.tables import TableStore
 from fieldhouse.workload.registry import query
 from fieldhouse.workload.views import GAMES_CTE, games, sides, table
 
@@ -128,3 +133,42 @@ def game_lines(spark, d):
     every = table(spark, d, "lineitem").agg(F.count("*").alias("n")).scalar()
     return sides(spark, d).agg(F.sum(F.col("homeLines") + F.col("awayLines")).alias("lines_used"), F.count("*").alias("orders")).select(
         every.alias("lines_in"), "lines_used", "orders")
+
+
+# ---- stored tables -----------------------------------------------------------------------------------------
+
+STORED = TableSpec("Deliveries", ("o_orderkey",), "o_orderkey long, status string, price double", partition_by=("status",))
+LOADS = ("first", "dry run", "second", "repeated")
+
+
+def _stored(spark, d):
+    """The orders as stored earlier, then today's delivery: dry, in earnest, and once more. Status F goes, and its partition."""
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/fieldhouse-tables/{uuid.uuid4().hex}")
+    today = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("status"),
+                                             (F.col("o_totalprice") + F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(0)).alias("price"))
+    first = store.upsert(_target(spark, d).select("o_orderkey", F.coalesce("status", F.lit("?")).alias("status"), "price"), STORED)
+    seen = [first] + [store.upsert(today, STORED, dry_run=dry) for dry in (True, False, False)]
+    return store, seen
+
+
+@query("stored_after_upserts", """
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS status, o_totalprice + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS price,
+  NOT (o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0) AS added_later FROM orders""")
+def stored_after_upserts(spark, d):
+    store, _ = _stored(spark, d)
+    rows = store.read(STORED)
+    start = rows.agg(F.min("insert_date").alias("at")).scalar()
+    return rows.select("o_orderkey", "status", "price", (F.col("insert_date") > start).alias("added_later"))
+
+
+@query("stored_upsert_reports", f"""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus ELSE '?' END AS status, o_totalprice AS price FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0),
+s AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS status, o_totalprice + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS price FROM orders),
+j AS (SELECT count(*) FILTER (t.o_orderkey IS NULL) AS fresh, count(*) FILTER (t.status IS NOT DISTINCT FROM s.status AND t.price = s.price) AS same, count(*) AS n
+  FROM s LEFT JOIN t USING (o_orderkey))
+SELECT 'first' AS load, (SELECT count(*) FROM t) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS unchanged
+UNION ALL SELECT unnest(['dry run', 'second']), fresh, n - fresh - same, same FROM j UNION ALL SELECT 'repeated', 0, 0, n FROM j""")
+def stored_upsert_reports(spark, d):
+    _, seen = _stored(spark, d)
+    return spark.createDataFrame([(name, r.inserted, r.updated, r.unchanged) for name, r in zip(LOADS, seen, strict=True)],
+                                 "load string, inserted long, updated long, unchanged long")

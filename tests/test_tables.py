@@ -44,25 +44,38 @@ def test_upsert_removes_emptied_partitions(spark, store):
 
 
 @pytest.mark.parametrize("spec", [SPEC, FLAT])
-@pytest.mark.parametrize("cut", ["_write", "_drop"])
-def test_upsert_cut_short_after_its_commit_is_finished_on_open(spark, store, monkeypatch, spec, cut):
+def test_a_version_cut_short_is_not_read_and_the_load_can_be_repeated(spark, store, monkeypatch, spec):
     names = [f.name for f in spec.schema.fields]
     rows = lambda v, s: frame(spark, [("m", s, v, "x"), ("k", "2022", 1, "x")]).select(*names)
     store.upsert(rows(1, "2023"), spec)
-    whole = getattr(TableStore, cut)
+    whole = TableStore._write
 
-    def fail(self, first, *rest):
-        if cut == "_drop" and "_staging" in first:
-            return whole(self, first, *rest)
+    def fail(self, df, path, *rest):
+        whole(self, df, path, *rest)
+        os.remove(f"{path}/_SUCCESS")
         raise OSError("cut short")
 
-    monkeypatch.setattr(TableStore, cut, fail)
+    before = store.path(spec)
+    reader = store.read(spec)
+    monkeypatch.setattr(TableStore, "_write", fail)
     with pytest.raises(OSError):
         store.upsert(rows(2, "2024"), spec)
     monkeypatch.undo()
     again = TableStore(spark, store.root)
+    assert again.path(spec) == before and sorted((r["id"], r["a"]) for r in again.read(spec).collect()) == [("k", 1), ("m", 1)]
+    assert again.upsert(rows(2, "2024"), spec).updated == 1
     assert sorted((r["id"], r["a"]) for r in again.read(spec).collect()) == [("k", 1), ("m", 2)]
-    assert os.listdir(f"{store.root}/_journal") in ([], [f for f in os.listdir(f"{store.root}/_journal") if f.endswith(".crc")])
+    assert sorted(r["a"] for r in reader.collect()) == [1, 1]  # a reader of the version before
+    assert again.upsert(rows(2, "2024"), spec).unchanged == 2 and len(os.listdir(f"{store.root}/{spec.name}")) == 2
+
+
+def test_only_touched_partitions_are_overwritten(spark, store):
+    store.upsert(frame(spark, [("a", "2022", 1, "x"), ("b", "2023", 1, "x")]), SPEC)
+    files = lambda s: sorted(os.listdir(f"{store.path(SPEC)}/season={s}"))
+    path, old, kept = store.path(SPEC), files(2023), files(2022)
+    store.upsert(frame(spark, [("b", "2023", 2, "x"), ("c", "2024", 1, "x")]), SPEC)
+    assert store.path(SPEC) == path and files(2022) == kept and files(2023) != old
+    assert sorted((r["id"], r["a"]) for r in store.read(SPEC).collect()) == [("a", 1), ("b", 2), ("c", 1)]
 
 
 @pytest.mark.parametrize("broadcast_rows", [500_000, 0])
