@@ -6,10 +6,12 @@ hashed words, and a few measures. A bidirectional LSTM in numpy reads the blocks
 over both states labels each as main text or not.
 
 There are no labelled pages, so the network is fitted to what page authors mark: FIT_PAGES pages, chosen by a hash of
-the id among those whose article or main element is the main text. Where no page has such marks, a stated rule over the
-names of elements and the measures of blocks labels them. So that it does not hang on those names alone, every page is
-also shown in a disguise: elements of each role are renamed, and sidebars, comments, notices and forms with other
-pages' sentences are put around the text. Fitting runs on the driver on that bounded sample, labelling on the executors.
+the id among those, of any length, whose article or main element is the main text; of a page with more than FIT_BLOCKS
+blocks it is shown those around both ends of the main text. Where no page has such marks, a stated rule over the names of
+elements and the measures of blocks labels them. So that it does not hang on those names alone, every page is also shown
+in a disguise: elements of each role are renamed, and sidebars, comments, notices and forms with other pages' sentences
+are put around the text and inside its element. Fitting runs on the driver on that bounded sample, labelling on the
+executors.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from fieldhouse.llm.common import saved, small_batches
 from fieldhouse.llm.kernels import U, flat, word_hashes
 
-FIT_PAGES, FIT_LENGTH, PASSES = 240, 30_000, 8
+FIT_PAGES, FIT_BLOCKS, PASSES = 240, 600, 8
 PATHS, WORDS, PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 1 << 12, 1 << 13, 12, 8, 5, 10
+STEPS = 240
+"""Gradient steps at least, of 16 pages each; few pages are shown more often."""
 CELLS = 20_000
 """Blocks, with padding, that run through the network together."""
 
@@ -323,26 +327,43 @@ def disguised(page: list, texts: list[str], rng: random.Random) -> tuple[list, l
         while spots and spots[0] == i:
             spots.pop(0)
             name, leaf = rng.choice(ROLES["other"]), rng.choice([("p",), ("div",), ("li",), ()])
+            inside = rng.random() < 0.3
             for _ in range(rng.randrange(1, 5)):
                 words = rng.choice(texts).split()
                 text = " ".join(words[:rng.randrange(1, 60)])
-                out.append((("html", "body", name, *leaf), text, len(text) if rng.random() < 0.3 else 0, False))
+                around = ("html", "body", names[True]) if inside else ("html", "body")
+                out.append(((*around, name, *leaf), text, len(text) if rng.random() < 0.3 else 0, False))
         if b:
             out.append(b)
     return [b[:3] for b in out], [b[3] for b in out]
 
 
+def shown(page: list) -> list:
+    """The blocks of a page that a network is fitted to: all, or FIT_BLOCKS around the first and the last of the main text."""
+    if len(page) <= FIT_BLOCKS:
+        return page
+    main = [i for i, b in enumerate(page) if marked(b[0])] or [0]
+    part = FIT_BLOCKS // 4
+    near = {i for edge in (main[0], main[-1] + 1) for i in range(edge - part, edge + part)}
+    return [page[i] for i in sorted(near) if 0 <= i < len(page)]
+
+
 def fit(htmls: list[str], seed: int = 5) -> Labeller | None:
     """A network fitted to pages whose authors mark their main text; None if there are none."""
-    pages = [p for p in map(blocks_of, htmls) if any(marked(b[0]) for b in p)]
+    return fit_blocks([shown(blocks_of(h)) for h in htmls], seed)
+
+
+def fit_blocks(pages: list[list], seed: int = 5) -> Labeller | None:
+    """The same from the blocks of pages."""
+    pages = [p for p in pages if any(marked(b[0]) for b in p)]
     if not pages:
         return None
     rng, net, memory, t = random.Random(seed), Labeller(seed), {}, 0
     texts = [b[1] for p in pages for b in p]
-    for _ in range(PASSES):
-        shown = [(p, [marked(b[0]) for b in p]) for p in pages] + [disguised(p, texts, rng) for p in pages]
-        shown.sort(key=lambda x: len(x[0]))
-        groups = [shown[i:i + 16] for i in range(0, len(shown), 16)]
+    for _ in range(max(PASSES, -(-STEPS // -(-len(pages) // 8)))):
+        both = [(p, [marked(b[0]) for b in p]) for p in pages] + [disguised(p, texts, rng) for p in pages]
+        both.sort(key=lambda x: len(x[0]))
+        groups = [both[i:i + 16] for i in range(0, len(both), 16)]
         rng.shuffle(groups)
         for group in groups:
             g = net.gradients(Features([p for p, _ in group]), np.array([y for _, label in group for y in label], np.float32))
@@ -393,13 +414,13 @@ def with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample_of(pages: DataFrame) -> DataFrame:
-    """(mark, page_id, html) of the FIT_PAGES different pages with the smallest hashes, among those of FIT_LENGTH characters at most whose authors mark main text.
+    """(mark, page_id, html) of the FIT_PAGES different pages with the smallest hashes, among those whose authors mark main text.
 
     Only hashes are ordered; the pages are then fetched by them, so no task or driver gets more than the sample. Pages
     where an article or main tag is written are drawn first; only if one of these turns out to mark nothing (a tag in a
     comment, an empty element) are all of them parsed for the draw.
     """
-    likely = pages.where(F.length("html").between(1, FIT_LENGTH) & F.col("html").rlike(r"(?i)<(article|main)[\t\n\r\f />]")).select(
+    likely = pages.where(F.col("html").rlike(r"(?i)<(article|main)[\t\n\r\f />]")).select(
         F.xxhash64("page_id", "html").alias("mark"), "page_id", "html")
 
     def drawn(of: DataFrame) -> DataFrame:
@@ -412,6 +433,17 @@ def sample_of(pages: DataFrame) -> DataFrame:
     return drawn(likely.mapInArrow(with_marks, likely.schema))
 
 
+def sample_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: what `shown` keeps of each page."""
+    kind = pa.list_(pa.struct([("path", pa.list_(pa.string())), ("text", pa.string()), ("linked", pa.int32())]))
+    for b in batches:
+        rows = [[{"path": list(p), "text": t, "linked": n} for p, t, n in shown(blocks_of(h))] for h in b.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("html"), pa.array(rows, kind)], ["html", "blocks"])
+
+
+SAMPLE = "html string, blocks array<struct<path:array<string>,text:string,linked:int>>"
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """Per row of `pages`: row (its columns other than html, as a struct), and text.
 
@@ -421,7 +453,8 @@ def extracted(pages: DataFrame) -> DataFrame:
     Other columns are carried unread, whatever their names.
     """
     small_batches(pages.sparkSession, 256)
-    net = fit([r["html"] for r in sorted(sample_of(pages).collect())])
+    drawn = sample_of(pages).select("mark", "html").dropDuplicates().orderBy("mark").select("html").mapInArrow(sample_blocks, SAMPLE).select("blocks")
+    net = fit_blocks([[(tuple(b["path"]), b["text"], b["linked"]) for b in r["blocks"]] for r in drawn.collect()])  # FIT_PAGES rows
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

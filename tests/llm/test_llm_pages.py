@@ -133,3 +133,55 @@ def test_tags_may_be_left_out():
     assert texts("<body><svg><text>drawn</text></svg><p>one<svg><foreignObject><div>drawn</div></foreignObject><text>drawn</text></svg> two") == ["one", "two"]
     assert texts("<body><div><noscript><p>one</div><p>two") == ["one", "two"]
     assert texts("<body><template><p>hidden</p></template><div><template><p>one</div><p>two") == ["one", "two"]
+
+
+def plain_labels(net, page):
+    """One page, one block and one direction at a time."""
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    p, h = {k: v.astype(np.float64) for k, v in net.p.items()}, P.HIDDEN
+    f = P.Features([page])
+    x = []
+    for i in range(len(page)):
+        path = p["path"][f.path[f.path_of == i]].sum(axis=0)
+        words = p["word"][f.word[f.word_of == i]]
+        x.append(np.concatenate([path, words.mean(axis=0) if len(words) else np.zeros(P.WORD_DIM), f.measures[i]]))
+    states = {}
+    for d, order in (("f", range(len(page))), ("b", range(len(page) - 1, -1, -1))):
+        s, c = np.zeros(h), np.zeros(h)
+        for t in order:
+            a = x[t] @ p[f"w{d}"] + p[f"b{d}"] + s @ p[f"u{d}"]
+            c = sig(a[h:2 * h]) * c + sig(a[:h]) * np.tanh(a[3 * h:])
+            s = states[d, t] = sig(a[2 * h:3 * h]) * np.tanh(c)
+    return [float(np.concatenate([states["f", t], states["b", t]]) @ p["out"] + p["out_b"][0]) for t in range(len(page))]
+
+
+def test_labels_equal_a_plain_forward_pass(rows):
+    plain, other = rows
+    net = P.fit([h for h, _ in plain[:60]])
+    pages = [blocks_of(h) for h, _ in plain[60:80] + other[:10]] + [[], [(("p",), "", 0)], [((), "x", 0)]]
+    for page, got in zip(pages, net.label(pages)):
+        want = plain_labels(net, page)
+        assert len(got) == len(want) and all(g == (w > 0) or abs(w) < 1e-4 for g, w in zip(got, want))
+
+
+def test_long_pages_are_learned_from(spark, monkeypatch):
+    """Where every page has over 100,000 characters, the network is fitted to parts of them and labels other names too."""
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "the ver que ion st".split() for b in "er an os lich ment".split()]
+
+    def page(main):
+        text = [" ".join(rng.choices(words, k=rng.randrange(20, 60))) + "." for _ in range(500)]
+        side = ["".join(f"<p>{' '.join(rng.choices(words, k=9))}</p>" for _ in range(5)) for _ in range(2)]
+        body = "".join(f"<p>{t}</p>" for t in text)
+        return f"<html><body><nav><ul><li><a href=x>one two</a></li></ul></nav><aside>{side[0]}</aside>{main[0]}{body}{main[1]}<footer>{side[1]}</footer></body></html>", "\n".join(text)
+
+    monkeypatch.setattr(P, "FIT_BLOCKS", 60)
+    made = [page(("<article>", "</article>")) for _ in range(30)]
+    apart = [page(("<div class='content'>", "</div>")) for _ in range(4)]
+    assert min(len(h) for h, _ in made + apart) > 100_000
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(made + apart)], "page_id long, url string, html string").repartition(4)
+    assert P.sample_of(df).count() == 30 and all(40 < len(P.shown(blocks_of(h))) <= 60 for h, _ in made)
+    got = {r["row"]["page_id"]: r["text"] for r in P.extracted(df).collect()}
+    wrong = [len(set(got[i].split("\n")) ^ set(t.split("\n"))) for i, (_, t) in enumerate(made)]
+    assert max(wrong) <= 2 and sum(wrong) < 10, wrong
+    assert all(len(set(got[30 + i].split("\n")) ^ set(t.split("\n"))) < 10 for i, (_, t) in enumerate(apart))
