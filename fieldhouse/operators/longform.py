@@ -20,14 +20,23 @@ def shared_stats(df: DataFrame, ignore: Sequence[str] = ("TeamId",)) -> list[str
 
 def to_long(
     df: DataFrame, stats: Sequence[str], entity: str = "TeamId", entity_as: str = "teamId",
-    base: Sequence[str] = ("gameId", "season", "gameDate"),
+    base: Sequence[str] = ("gameId", "season", "gameDate"), complete: bool = False,
 ) -> DataFrame:
-    """One row per side per game. The game is scanned once: both sides come out of one generator."""
+    """One row per side per game. The game is scanned once: both sides come out of one generator.
+
+    `complete` states that every side has an entity: a row without one fails the job that comes upon it.
+    """
     require(df, [*base, *(f"{s}{entity}" for s in SIDES)], "games")
     stats = [s for s in stats if all(f"{side}{s}" in df.columns for side in SIDES)]
+
+    def named(side: str) -> Column:
+        value = F.col(f"{side}{entity}")
+        missing = F.raise_error(F.concat(F.lit(f"{side}{entity} is missing in "), F.to_json(F.struct(*base))))
+        return F.when(value.isNull(), missing.cast(df.schema[f"{side}{entity}"].dataType)).otherwise(value) if complete else value
+
     rows = F.array(*[
         F.struct(
-            F.col(f"{side}{entity}").alias(entity_as),
+            named(side).alias(entity_as),
             *[F.col(f"{side}{s}").alias(s) for s in stats],
             F.lit(side).alias("side"))
         for side in SIDES])

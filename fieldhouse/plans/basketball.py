@@ -36,7 +36,7 @@ def team_features(
     games: DataFrame, stats: Sequence[str], windows: Sequence[int], limits: Limits | None = None,
 ) -> DataFrame:
     """Long rows with rolling means and fatigue; both use the same partitioning by (team, season)."""
-    long = to_long(games, [s for s in shared_stats(games) if s in stats], base=BASE)
+    long = to_long(games, [s for s in shared_stats(games) if s in stats], base=BASE, complete=True)
     rolled = rolling_means(long, stats, windows, order=("startDate", "gameId", "side"), suffix="_l", limits=limits)
     return fatigue(rolled, limits=limits)
 

@@ -10,10 +10,12 @@ from fieldhouse.functions.calendar import PITCH_DEFAULT, PITCH_SEASONS, season_b
 from fieldhouse.operators import upsert as up
 from fieldhouse.operators.profile import repeated_keys
 from fieldhouse.operators.sizing import Limits
+from fieldhouse.plans.loads import Load
 from fieldhouse.schemas import TableSpec
 from fieldhouse.session import ensure_checkpoint_dir
 from fieldhouse.sources.files import pitch_scan, season_scan
 from fieldhouse.sources.tables import TableStore
+from fieldhouse.streaming.landing import ARRIVED, follow_landing
 from fieldhouse.workload.registry import query
 from fieldhouse.workload.views import GAMES_CTE, games, sides, table
 
@@ -172,3 +174,29 @@ def stored_upsert_reports(spark, d):
     _, seen = _stored(spark, d)
     return spark.createDataFrame([(name, r.inserted, r.updated, r.unchanged) for name, r in zip(LOADS, seen, strict=True)],
                                  "load string, inserted long, updated long, unchanged long")
+
+
+FOLLOWED = TableSpec("Followed", ("o_orderkey",), "o_orderkey long, status string, price double")
+
+
+@query("landing_followed", """
+SELECT o_orderkey, o_orderstatus AS status, o_totalprice + CASE WHEN o_orderkey % 11 = 0 THEN 2 WHEN o_orderkey % 7 = 0 THEN 0 WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS price,
+  true AS replayed_alike FROM orders""")
+def landing_followed(spark, d):
+    """Three deliveries into a landing folder, each followed by a run of the stream; then all files replayed at once into another table."""
+    root = f"{ensure_checkpoint_dir(spark)}/fieldhouse-landing/{uuid.uuid4().hex}"
+    docs = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    k = F.col("o_orderkey")
+    waves = [docs.where(k % 3 != 0),
+             docs.where((k % 3 == 0) | (k % 5 == 0)).withColumn("price", F.col("price") + F.when(k % 5 == 0, 1).otherwise(0)),
+             docs.where((k % 7 == 0) | (k % 11 == 0)).withColumn("price", F.col("price") + F.when(k % 11 == 0, 2).otherwise(0))]
+    columns = [f.name for f in FOLLOWED.schema.fields]
+    which = Load(FOLLOWED, FOLLOWED.ddl, lambda j: j.select(*columns, ARRIVED))
+    store, again = TableStore(spark, f"{root}/tables"), TableStore(spark, f"{root}/replayed")
+    for wave in waves:
+        wave.write.mode("append").json(f"{root}/landing")
+        follow_landing(store, which, f"{root}/landing", f"{root}/checkpoint", arrival=True).awaitTermination()
+    follow_landing(again, which, f"{root}/landing", f"{root}/checkpoint-replayed", arrival=True).awaitTermination()
+    other = again.read(FOLLOWED).select("o_orderkey", F.struct("status", "price").alias("_o"))
+    alike = F.col("_o").eqNullSafe(F.struct("status", "price")).alias("replayed_alike")
+    return store.read(FOLLOWED).join(other, "o_orderkey", "full").select(*columns, alike)

@@ -11,6 +11,7 @@ from fieldhouse import schemas as sc
 from fieldhouse.operators import cleaning as cl
 from fieldhouse.operators import profile as pf
 from fieldhouse.operators import shape as sh
+from fieldhouse.operators.longform import to_long
 from fieldhouse.operators.nested import odds_lines, odds_table
 from fieldhouse.plans import loads
 from fieldhouse.sources.files import processed_name, read_file, write_by_value, write_file
@@ -193,6 +194,25 @@ def test_stream_takes_each_file_once(spark, store, tmp_path):
     assert {r["game_id"]: r["away_score"] for r in store.read(which.spec).collect()} == {"1": 9, "2": 2}
 
 
+def test_stream_sets_rows_outside_the_window_aside(spark, store, tmp_path):
+    path = _landing(tmp_path, "GameInfo", [_schedule(1, "Final", "2024-05-01T18:00:00Z", 1), _schedule(2, "Final", "2024-04-01T18:00:00Z", 2),
+                                           _schedule(3, "Final", "2024-05-03T18:00:00Z", 3)])
+    which = loads.BASEBALL_LOADS["GameInfo"]
+    follow_landing(store, which, path, str(tmp_path / "check"), as_of=dt.date(2024, 5, 2), back=3).awaitTermination()
+    assert [r["game_id"] for r in store.read(which.spec).collect()] == ["1"]
+    aside = spark.read.parquet(f"{store.root}/_rejected/{which.spec.name}").collect()
+    assert len(aside) == 2 and all('"game_id"' in r["document"] for r in aside)
+
+
+def test_a_side_without_team_fails_when_the_rows_are_made(spark):
+    rows = spark.createDataFrame([(1, 2, 3), (2, None, 3)], "gameId int, homeTeamId int, awayTeamId int")
+    assert to_long(rows, [], base=["gameId"]).count() == 4
+    long = to_long(rows, [], base=["gameId"], complete=True)
+    with pytest.raises(Exception, match="homeTeamId is missing in .*2"):
+        long.collect()
+    assert to_long(rows.where("homeTeamId IS NOT NULL"), [], base=["gameId"], complete=True).count() == 2
+
+
 @pytest.mark.parametrize("name", ["csv", "json", "parquet"])
 def test_files(spark, tmp_path, name):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
