@@ -340,11 +340,14 @@ class Stack:
 
 def stack(
     df: DataFrame, target: str, features: Sequence[str], key: str, names: Sequence[str], params: Mapping[str, dict] | None = None,
-    folds: int = 5, seed: int = 42, problem: str = "classification",
+    folds: int = 5, seed: int = 42, problem: str = "classification", fold: str | None = None,
 ) -> Stack:
-    """The meta-model learns from scores of models that had not seen the row: one fit per model and fold."""
+    """The meta-model learns from scores of models that had not seen the row: one fit per model and fold.
+
+    Folds are hashed by key, or read from the column `fold` (0 … folds - 1).
+    """
     params = params or {}
-    folded = with_folds(df, key, folds, seed)
+    folded = df.withColumn("fold", F.col(fold)) if fold else with_folds(df, key, folds, seed)
     unseen = None
     for i in range(folds):
         inside = {n: fit(folded.where(F.col("fold") != i), target, features, n, problem, seed, **params.get(n, {})) for n in names}
@@ -374,13 +377,20 @@ def ensemble_importance(spark: SparkSession, kind: str, models: Sequence[str] =
 
 def repeat_training(
     df: DataFrame, target: str, features: Sequence[str], key: str, name: str, runs: int = 5, seed: int = 42,
-    test_size: float = 0.2, **params,
+    test_size: float = 0.2, tests: Callable[[int], Column] | None = None, **params,
 ) -> tuple[DataFrame, DataFrame]:
-    """Metric rows (`run`, `metric`, `value`) and importance rows over seeds; average them with `average_over_runs`."""
+    """Metric rows (`run`, `metric`, `value`) and importance rows over seeds; average them with `average_over_runs`.
+
+    A run is tested on a seeded share of the rows, or on those for which `tests(run)` holds.
+    """
     spark, problem = df.sparkSession, problem_type(df, target)
     scores, weights = None, None
     for run in range(runs):
-        a, b = split_random(df, key, test_size, seed + run, target if problem == "classification" else None)
+        if tests:
+            own = F.coalesce(tests(run), F.lit(False))
+            a, b = df.where(~own), df.where(own)
+        else:
+            a, b = split_random(df, key, test_size, seed + run, target if problem == "classification" else None)
         m = fit(a, target, features, name, problem, seed + run, **params)
         part = mt.melt_metrics(m.metrics(b, target).withColumn("run", F.lit(run)), ["run"])
         scores = part if scores is None else scores.unionByName(part)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fieldhouse.operators import encoding as en
 from fieldhouse.operators import splits as sp
 from fieldhouse.operators.metrics import performance_weights
+from fieldhouse.operators.sizing import beside
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import GAMES_CTE, games, table
 
@@ -74,11 +75,23 @@ def imputed_with_noise(spark, d):
                    r6(F.sum(kept), "kept_sum"))
 
 
-@query("imputed_values")
+@query("imputed_values", f"""WITH {GAMES_CTE} SELECT gameId, homeERA AS "keptERA", homeSpread AS "keptSpread", overUnder::DOUBLE AS "keptLine",
+  homeERA IS NULL AS "drawnERA", homeSpread IS NULL AS "drawnSpread", overUnder IS NULL AS "drawnLine", true AS near FROM games""")
 def imputed_values(spark, d):
+    """Known values stay; drawn ones lie near the middle of the known: within the nine deviations that the noise can reach."""
     g = games(spark, d).select("gameId", "homeERA", "homeSpread", "overUnder")
-    return en.fill(en.impute(g.drop("overUnder"), ["gameId"]).join(g.select("gameId", "overUnder"), "gameId"),
-                   {"overUnder": "median"}, ["gameId"])
+    out = en.fill(en.impute(g.drop("overUnder"), ["gameId"]).join(g.select("gameId", "overUnder"), "gameId"),
+                  {"overUnder": "median"}, ["gameId"])
+    names = {"homeERA": "ERA", "homeSpread": "Spread", "overUnder": "Line"}
+    known = g.select("gameId", *[F.col(c).alias(f"_{n}") for c, n in names.items()])
+    ends = g.agg(*[f(c).alias(f"{p}{n}") for c, n in names.items() for p, f in (("_m", F.avg), ("_d", F.stddev_samp))])
+    both = beside(out.join(known, "gameId"), ends)
+    near = F.lit(True)
+    for c, n in names.items():
+        # a median lies within one deviation of the mean
+        near = near & F.coalesce(F.abs(F.col(c) - F.col(f"_m{n}")) <= 10 * F.col(f"_d{n}"), F.lit(False))
+    return both.select("gameId", *[F.when(F.col(f"_{n}").isNotNull(), F.col(c)).alias(f"kept{n}") for c, n in names.items()],
+                       *[F.col(f"_{n}").isNull().alias(f"drawn{n}") for n in names.values()], near.alias("near"))
 
 
 @query("complete_rows", f"WITH {GAMES_CTE} SELECT gameId, homeERA, homeSpread FROM games WHERE homeERA IS NOT NULL AND homeSpread IS NOT NULL")
