@@ -26,9 +26,9 @@ def to_number(c: Column, kind: str = "double") -> Column:
     return n if kind == "double" else n.try_cast(kind)
 
 
-def to_whole(c: Column) -> Column:
-    """Rounded half to even, as a nullable long."""
-    return F.bround(to_number(c)).try_cast("long")
+def to_whole(c: Column, integral: bool = False) -> Column:
+    """Rounded half to even, as a nullable long. An `integral` column has nothing to round and no NaN."""
+    return (c.cast("double") if integral else F.bround(to_number(c))).try_cast("long")
 
 
 def to_scale(c: Column, digits: int) -> Column:

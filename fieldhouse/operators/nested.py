@@ -294,8 +294,12 @@ PLAYER_BOX_DECIMAL = [
 
 
 def _typed(df: DataFrame, **groups: tuple[Sequence[str], object]) -> DataFrame:
-    cols = {c: fn(F.col(c)) for names, fn in groups.values() for c in names if c in df.columns}
-    return df.withColumns(cols)
+    schema = df.schema
+
+    def typed(c: str, fn) -> Column:
+        return fn(F.col(c), True) if fn is to_whole and isinstance(schema[c].dataType, T.IntegralType) else fn(F.col(c))
+
+    return df.withColumns({c: typed(c, fn) for names, fn in groups.values() for c in names if c in df.columns})
 
 
 def _text(c: Column) -> Column:
