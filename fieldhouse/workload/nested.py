@@ -15,8 +15,13 @@ from fieldhouse.workload.views import GAMES_CTE, games, table
 
 
 def parsed(df: DataFrame, doc: Column, ddl: str) -> DataFrame:
-    """The document as JSON text, read back under its landing schema."""
-    return df.select(F.to_json(doc).alias("json")).select(F.from_json("json", ddl).alias("d")).select("d.*")
+    """The document as JSON text, read back under its landing schema.
+
+    Text and fields come out of generators, as later conditions on the fields are not moved below those: they would write and
+    parse the document again, once per condition.
+    """
+    texts = df.select(F.explode(F.array(F.to_json(doc))).alias("json"))
+    return texts.select(F.inline(F.array(F.from_json("json", ddl))))
 
 
 def _side(side: str, name: str) -> Column:
