@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from fieldhouse.functions.odds import edge, in_tails, pick_side
 from fieldhouse.operators.profile import repeated_keys
-from fieldhouse.operators.sizing import lookup
 
 SPREAD_SIDES = ("HOME", "AWAY")
 TOTAL_SIDES = ("OVER", "UNDER")
@@ -31,10 +30,14 @@ def daily_picks(
     scored: DataFrame, game_info: DataFrame, lower: float, upper: float, as_of: Column,
     sides: Sequence[str] = SPREAD_SIDES, line: str = "homeSpread", back_hours: int = 10,
 ) -> DataFrame:
-    """Picks joined to names and venue of games that started at most `back_hours` ago or are still to come."""
+    """Picks joined to names and venue of games that started at most `back_hours` ago or are still to come.
+
+    How to join is left to Spark, which knows the size of the picks once they are made; counting them first would score
+    all games a second time.
+    """
     recent = game_info.where(F.col("startDate") >= as_of - F.expr(f"INTERVAL {back_hours} HOURS"))
     picks = select_picks(scored, lower, upper, sides)
-    joined = recent.select("gameId", "homeTeam", "awayTeam", "venue").join(lookup(picks), "gameId")
+    joined = recent.select("gameId", "homeTeam", "awayTeam", "venue").join(picks, "gameId")
     return joined.select(
         "gameId", "homeTeam", "awayTeam", "startDate", "venue", line, "predProb", "predClass", "pickSide", "edge")
 

@@ -14,7 +14,7 @@ from fieldhouse.operators import metrics as mt
 from fieldhouse.plans import basketball
 from fieldhouse.plans import models as md
 from fieldhouse.plans.picks_job import spread_picks
-from fieldhouse.session import pinned
+from fieldhouse.session import pinned, stored
 from fieldhouse.workload.features import model_table
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import GAMES_CTE, HOOPS_CTE, games, hoops
@@ -266,7 +266,7 @@ AS_OF = "2000-01-01 00:00:00"
 
 def _picks(spark, d, features, name, **params):
     """History before the day trains the model; games from then on are picked."""
-    games = hoops(spark, d)
+    games = stored(hoops(spark, d))  # history, upcoming games and their names all read it
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
     table = basketball.build_model_table(games, basketball.SPREAD_STATS, [3], "homeCover")
     history = pinned(table.where(F.col("startDate") < as_of).dropna(subset=["homeCover"]))
