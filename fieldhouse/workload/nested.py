@@ -24,6 +24,15 @@ def parsed(df: DataFrame, doc: Column, ddl: str) -> DataFrame:
     return texts.select(F.inline(F.array(F.from_json("json", ddl))))
 
 
+def spread(games: DataFrame) -> DataFrame:
+    """Games dealt evenly over as many tasks as shuffles have, before large documents are made of them.
+
+    Adaptive execution sizes tasks by the bytes of the small rows, which leaves few tasks of uneven length.
+    """
+    tasks = int(games.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return games.repartition(tasks, F.xxhash64("gameId", "gameDate"))
+
+
 def _side(side: str, name: str) -> Column:
     return F.col(f"{side}{name}")
 
@@ -155,7 +164,7 @@ def baseball_docs(spark, d):
             F.struct(batting.alias("batting"), pitching.alias("pitching")).alias("teamStats"),
             F.create_map(F.concat(F.lit("ID"), pid), player).alias("players"))
 
-    g = games(spark, d)
+    g = spread(games(spark, d))
     doc = F.struct(F.col("gameId").cast("string").alias("game_id"), club("away").alias("away"), club("home").alias("home"))
     return parsed(g, doc, sc.BASEBALL_BOXSCORE_JSON)
 
@@ -258,7 +267,7 @@ def odds_pages(spark, d, *keep):
                         F.lit("</script></body></html>"))
         return F.struct(F.to_date("gameDate").alias("date"), F.lit(kind).alias("bet_type"), html.alias("html"))
 
-    return games(spark, d).select(*keep, F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select(*keep, "p.*")
+    return spread(games(spark, d)).select(*keep, F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select(*keep, "p.*")
 
 
 _ODDS = """odds AS (SELECT gameDate::DATE AS date, gameId::VARCHAR AS game_id, gameDate AS game_time, 'Team ' || awayTeamId AS away_team,
