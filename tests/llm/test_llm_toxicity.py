@@ -90,6 +90,26 @@ def test_nulls_clashing_columns_and_empty_tables(spark, fitted):
     assert {r["score"] for r in T.toxicity(docs, marks.limit(0)).collect()} == {0.0}
 
 
+def test_the_driver_gets_weights_and_no_texts(spark, fitted, monkeypatch):
+    texts, labels, _ = fitted
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:150])], "doc_id long, text string").repartition(7)
+    marks = spark.createDataFrame([(i, y) for i, y in enumerate(labels[:150])], "doc_id long, toxic int").repartition(5)
+    fold = [i for i in range(150) if zlib.crc32(str(i).encode()) % 5]
+    want = T.score_texts(T.fit([texts[i] for i in fold], [labels[i] for i in fold]), *flat(pa.array(texts[:150])))
+    monkeypatch.setattr(T, "_train", None)  # here, not in the tasks
+    got = {r["row"]["doc_id"]: r["score"] for r in T.toxicity(docs, marks).collect()}
+    assert np.allclose([got[i] for i in range(150)], want, atol=1e-3)
+
+
+def test_parts_are_like_the_whole():
+    texts = ["", "one two three", "?!", "four " * 40, None, "five, six"]
+    whole = T.inputs_of(*flat(pa.array(texts)))
+    for cuts in ([0, 6], [0, 1, 4, 6], [0, 0, 2, 3, 6, 6]):
+        got = T.joined([T.inputs_of(*flat(pa.array(texts[i:j], pa.string()))) for i, j in zip(cuts, cuts[1:])])
+        assert all(np.array_equal(a, b) for a, b in zip(got, whole))
+    assert T.joined([])[1].tolist() == [0] and T.fit([], []) is None
+
+
 def plain_score(net, text):
     """One window at a time, one step at a time."""
     sig = lambda x: 1 / (1 + np.exp(-x))
