@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.operators.cleaning import is_completed
-from fieldhouse.operators.sizing import beside, lookup
-from fieldhouse.session import pinned
+from fieldhouse.operators.sizing import Limits, beside, lookup
+from fieldhouse.session import stored
 
 
 # What an odds row says of a game.
@@ -17,8 +19,12 @@ PRICES = ("sportsbook", "home_line", "away_line", "total", "over_odds", "under_o
           "away_spread", "away_spread_odds")
 
 
-def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
-    """(`short`, `full`) pairs where the full name contains the short one.
+# A start whose games and prices are fewer than this is never split.
+LEAST_SPLIT_ROWS = 100_000
+
+
+def _names_within(full: DataFrame, short: DataFrame) -> DataFrame:
+    """`full` and `shorts`: each full name with all short names that it contains.
 
     Each distinct full name is cut into its pieces of the lengths that short names have, and the pieces meet the short
     names on equality, so names are never compared pair by pair.
@@ -29,24 +35,59 @@ def _names_containing(full: DataFrame, short: DataFrame) -> DataFrame:
     pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= size), lambda n: F.transform(
         F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("full"), i, n))))
     cut = beside(full.distinct().where(size > 0), lengths).select("full", F.explode(F.array_distinct(pieces)).alias("short"))
-    return cut.join(short, "short")
+    return cut.join(short, "short").groupBy("full").agg(F.collect_list("short").alias("shorts"))
+
+
+def _with_parts(tables: Sequence[DataFrame], tasks: int, limits: Limits) -> list[DataFrame]:
+    """The tables with `_parts`: into how many tasks the rows of their `_time` go, 1 but for starts with very many rows.
+
+    Those have at least a task's even share of all rows, so there are no more of them than tasks.
+    """
+    counted = reduce(DataFrame.unionAll, [t.select("_time") for t in tables]).groupBy("_time").agg(F.count("*").alias("_rows"))
+    seen = counted.agg(F.sum("_rows").alias("every"), F.max("_rows").alias("most")).first()
+    most = min(limits.group_rows, max((seen["every"] or 0) // tasks, LEAST_SPLIT_ROWS))
+    if (seen["most"] or 0) <= most:
+        return [t.withColumn("_parts", F.lit(1)) for t in tables]
+    split = counted.where(F.col("_rows") > most).select("_time", F.ceil(F.col("_rows") / most).cast("int").alias("_parts"))
+    return [t.join(F.broadcast(split), "_time", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))) for t in tables]
+
+
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows of one `_time` and `_part` in one task, whose number is `_task`."""
+    task = F.pmod(F.xxhash64("_time", "_part"), F.lit(tasks)).cast("int")
+    return rows.withColumn("_task", task).repartitionById(tasks, "_task")
 
 
-def match_odds(games: DataFrame, odds: DataFrame) -> DataFrame:
+def match_odds(games: DataFrame, odds: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Games and prices with the same start whose full names contain the short names of the odds.
 
     Both sides are written once, as names and rows are taken from them: pages behind the prices are parsed a single time.
-    The short home name is first resolved to the full names it may stand for; games and prices then meet on start
-    and full home name, and the away name only filters the few rows that share both.
+    Each game carries the short names that its full home name may stand for. Both sides are dealt by start, and only
+    inside a task a game becomes one row per short name; it meets the prices on start and short home name, and the away
+    name filters the few rows that share both. A start with very many rows goes to several tasks by short home name.
     """
-    games = pinned(games.select("game_id", "game_datetime", "home_name", "away_name", "home_score", "away_score"))
-    odds = pinned(odds.select("game_time", "home_team", "away_team", *PRICES))
-    names = _names_containing(games.select(F.col("home_name").alias("full")), odds.select(F.col("home_team").alias("short")))
-    named = odds.join(lookup(names), odds["home_team"] == names["short"]).withColumnRenamed("full", "_home")
-    g, o = games.alias("g"), named.alias("o")
-    return g.join(
-        o, (F.col("g.game_datetime") == F.col("o.game_time")) & (F.col("g.home_name") == F.col("o._home"))
-        & F.contains("g.away_name", "o.away_team")).select(
+    spark = games.sparkSession
+    limits, tasks = limits or Limits.of(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    games = stored(games.select("game_id", "game_datetime", "home_name", "away_name", "home_score", "away_score"))
+    odds = stored(odds.select("game_time", "home_team", "away_team", *PRICES))
+    names = stored(_names_within(games.select(F.col("home_name").alias("full")), odds.select(F.col("home_team").alias("short"))))
+    alike = games.schema["game_datetime"].dataType == odds.schema["game_time"].dataType
+    start = lambda c: F.col(c) if alike else F.col(c).cast("timestamp")
+    games, odds = _with_parts(
+        [games.withColumn("_time", start("game_datetime")), odds.withColumn("_time", start("game_time"))], tasks, limits)
+
+    def part(name):
+        return F.pmod(F.xxhash64(name), F.col("_parts"))
+
+    named = games.join(lookup(names, replace(limits, broadcast_free_bytes=0)), games["home_name"] == names["full"])
+    apart = F.transform(F.array_distinct(F.transform("shorts", part)), lambda p: F.struct(
+        p.alias("_part"), F.filter("shorts", lambda s: part(s) == p).alias("shorts")))
+    g = named.withColumn("_apart", F.explode(apart)).select(*games.columns, "_apart.*")
+    g = _dealt(g, tasks).withColumn("home_team", F.explode("shorts")).alias("g")
+    o = _dealt(odds.withColumn("_part", part(F.col("home_team"))), tasks).alias("o")
+    return g.join(  # merged, as files of few bytes may hold more rows than a broadcast should
+        o.hint("merge"), (F.col("g._task") == F.col("o._task")) & (F.col("g._time") == F.col("o._time"))
+        & (F.col("g.home_team") == F.col("o.home_team")) & F.contains("g.away_name", "o.away_team")).select(
         "g.game_id", "g.game_datetime", F.col("g.home_name").alias("full_home_name"),
         F.col("g.away_name").alias("full_away_name"), "g.home_score", "g.away_score", *[f"o.{c}" for c in PRICES])
 
