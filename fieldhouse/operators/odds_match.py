@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldhouse.operators.cleaning import is_completed
@@ -24,9 +24,9 @@ LEAST_SPLIT_ROWS = 100_000
 
 
 def _names_within(full: DataFrame, short: DataFrame) -> DataFrame:
-    """`full` and `shorts`: each full name with all short names that it contains.
+    """`full` and `spots`: each full name with all short names that it contains, as places that `_piece` reads.
 
-    Each distinct full name is cut into its pieces of the lengths that short names have, and the pieces meet the short
+    Places are smaller than names, and what is put beside games is shuffled. Each distinct full name is cut into its pieces of the lengths that short names have, and the pieces meet the short
     names on equality, so names are never compared pair by pair.
     """
     short = short.distinct().where(F.length("short") > 0)
@@ -35,7 +35,12 @@ def _names_within(full: DataFrame, short: DataFrame) -> DataFrame:
     pieces = F.flatten(F.transform(F.filter("_lengths", lambda n: n <= size), lambda n: F.transform(
         F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("full"), i, n))))
     cut = beside(full.distinct().where(size > 0), lengths).select("full", F.explode(F.array_distinct(pieces)).alias("short"))
-    return cut.join(short, "short").groupBy("full").agg(F.collect_list("short").alias("shorts"))
+    spot = F.shiftleft(F.instr("full", F.col("short")).cast("long"), 32) + F.length("short")
+    return cut.join(short, "short").groupBy("full").agg(F.collect_list(spot).alias("spots"))
+
+
+def _piece(full: str, spot: Column) -> Column:
+    return F.substring(F.col(full), F.shiftright(spot, 32).cast("int"), spot.bitwiseAND(2**32 - 1).cast("int"))
 
 
 def _with_parts(tables: Sequence[DataFrame], tasks: int, limits: Limits) -> list[DataFrame]:
@@ -62,7 +67,7 @@ def match_odds(games: DataFrame, odds: DataFrame, limits: Limits | None = None)
     """Games and prices with the same start whose full names contain the short names of the odds.
 
     Both sides are written once, as names and rows are taken from them: pages behind the prices are parsed a single time.
-    Each game carries the short names that its full home name may stand for. Both sides are dealt by start, and only
+    Each game carries the places of the short names inside its full home name. Both sides are dealt by start, and only
     inside a task a game becomes one row per short name; it meets the prices on start and short home name, and the away
     name filters the few rows that share both. A start with very many rows goes to several tasks by short home name.
     """
@@ -79,11 +84,14 @@ def match_odds(games: DataFrame, odds: DataFrame, limits: Limits | None = None)
     def part(name):
         return F.pmod(F.xxhash64(name), F.col("_parts"))
 
+    def own(spot):
+        return part(_piece("home_name", spot))
+
     named = games.join(lookup(names, replace(limits, broadcast_free_bytes=0)), games["home_name"] == names["full"])
-    apart = F.transform(F.array_distinct(F.transform("shorts", part)), lambda p: F.struct(
-        p.alias("_part"), F.filter("shorts", lambda s: part(s) == p).alias("shorts")))
-    g = named.withColumn("_apart", F.explode(apart)).select(*games.columns, "_apart.*")
-    g = _dealt(g, tasks).withColumn("home_team", F.explode("shorts")).alias("g")
+    apart = F.transform(F.array_distinct(F.transform("spots", own)), lambda p: F.struct(
+        p.alias("_part"), F.filter("spots", lambda s: own(s) == p).alias("spots")))
+    g = _dealt(named.withColumn("_apart", F.explode(apart)).select(*games.columns, "_apart.*"), tasks)
+    g = g.withColumn("_spot", F.explode("spots")).withColumn("home_team", _piece("home_name", F.col("_spot"))).alias("g")
     o = _dealt(odds.withColumn("_part", part(F.col("home_team"))), tasks).alias("o")
     return g.join(  # merged, as files of few bytes may hold more rows than a broadcast should
         o.hint("merge"), (F.col("g._task") == F.col("o._task")) & (F.col("g._time") == F.col("o._time"))

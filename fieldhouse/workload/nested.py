@@ -9,7 +9,7 @@ from fieldhouse import schemas as sc
 from fieldhouse.operators import nested as ns
 from fieldhouse.operators import odds_match as om
 from fieldhouse.operators.cleaning import clean_player_boxscores, clean_team_boxscores
-from fieldhouse.session import pinned
+from fieldhouse.session import pinned, stored
 from fieldhouse.workload.registry import query, r6
 from fieldhouse.workload.views import GAMES_CTE, games, table
 
@@ -234,8 +234,8 @@ def mlb_schedule_documents(spark, d):
 # ---- odds pages --------------------------------------------------------------------------------------------
 
 
-def odds_pages(spark, d, *keep):
-    """One HTML page per game and bet type, half in the newer layout and half in the older one."""
+def odds_pages(spark, d, *keep, view: DataFrame | None = None):
+    """One HTML page per game and bet type, half in the newer layout and half in the older one. `view`: the games, if they are at hand."""
     k = F.col("gameId")
     home, away = F.col("homeMoneyline"), F.col("awayMoneyline")
     lines = {
@@ -267,7 +267,7 @@ def odds_pages(spark, d, *keep):
                         F.lit("</script></body></html>"))
         return F.struct(F.to_date("gameDate").alias("date"), F.lit(kind).alias("bet_type"), html.alias("html"))
 
-    return spread(games(spark, d)).select(*keep, F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select(*keep, "p.*")
+    return spread(games(spark, d) if view is None else view).select(*keep, F.explode(F.array(*[page(kind) for kind in ns.BET_TYPES])).alias("p")).select(*keep, "p.*")
 
 
 _ODDS = """odds AS (SELECT gameDate::DATE AS date, gameId::VARCHAR AS game_id, gameDate AS game_time, 'Team ' || awayTeamId AS away_team,
@@ -322,11 +322,13 @@ WITH {GAMES_CTE}, {_ODDS}, g AS (SELECT gameId::VARCHAR AS game_id, gameDate AS
 SELECT g.game_id, game_datetime, home_name AS full_home_name, away_name AS full_away_name, home_score, away_score, sportsbook, home_line, away_line
 FROM g JOIN odds ON game_datetime = game_time AND contains(home_name, home_team) AND contains(away_name, away_team)""")
 def games_meet_odds(spark, d):
-    g = games(spark, d).select(
+    view = stored(games(spark, d).select(  # games and pages are both made of it
+        "gameId", "gameDate", "homeTeamId", "awayTeamId", "homeRuns", "awayRuns", "homeMoneyline", "awayMoneyline", "homeSpread", "overUnder"))
+    g = view.select(
         F.col("gameId").cast("string").alias("game_id"), F.col("gameDate").cast("timestamp").alias("game_datetime"),
         F.concat(F.lit("City Team "), "homeTeamId").alias("home_name"), F.concat(F.lit("City Team "), "awayTeamId").alias("away_name"),
         F.col("homeRuns").alias("home_score"), F.col("awayRuns").alias("away_score"))
-    odds = ns.odds_table(ns.odds_lines(odds_pages(spark, d)))
+    odds = ns.odds_table(ns.odds_lines(odds_pages(spark, d, view=view)))
     return om.match_odds(g, odds).select("game_id", "game_datetime", "full_home_name", "full_away_name", "home_score", "away_score",
                                          "sportsbook", "home_line", "away_line")
 
