@@ -102,12 +102,24 @@ def with_class_labels(rows: DataFrame, classes: int) -> DataFrame:
     return rows.withColumns({f"{LABEL}_{i}": (F.col(LABEL) == i).cast("double") for i in range(classes)})
 
 
+def _without_summaries(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The same stages without training summaries: those hold the session, which no task can take once it has observed a write."""
+    def bare(stage):
+        if not getattr(stage, "hasSummary", False):
+            return stage
+        out = stage.copy()
+        out._java_obj.setSummary(spark._jvm.scala.Option.empty())
+        return out
+
+    return PipelineModel([bare(s) for s in model.stages])
+
+
 def predicted(model: PipelineModel, df: DataFrame, classify: bool = True) -> DataFrame:
     """`df` with `prediction`, for classes also `probabilities`, one per class with sum 1.
 
     One-against-rest chances are divided by their sum, and the largest decides; of equal ones the first class.
     """
-    out = model.transform(df)
+    out = _without_summaries(model, df.sparkSession).transform(df)
     if not classify:
         return out.select(*df.columns, "prediction")
     parts = [m for m in model.stages if isinstance(m, GBTClassificationModel) and m.getProbabilityCol() != "probability"]

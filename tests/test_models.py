@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fieldhouse.operators import encoding as en
@@ -25,6 +26,16 @@ def planted(spark):
     return spark.createDataFrame(rows, "gameId int, x double, noise double, y int, z double, day int").cache()
 
 
+@pytest.mark.parametrize("name", ["lr", "rf"])
+def test_models_score_in_a_session_that_has_observed_a_write(spark, planted, name):
+    seen = Observation()
+    planted.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get["n"] == 600
+    m = md.fit(planted, "y", FEATURES, name, "classification")
+    assert m.score(planted).where("predProb IS NOT NULL").count() == 600
+    assert m.model.stages[-1].hasSummary
+
+
 @pytest.mark.parametrize("name,params", [("lr", {}), ("xgb", {"maxIter": 5}), ("rf", {"numTrees": 10}), ("nn", {"hidden": 4, "maxIter": 60})])
 def test_signal_is_found(planted, name, params):
     m = md.fit(planted, "y", FEATURES, name, "classification", **params)
